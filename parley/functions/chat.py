@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from parley.functions.jsontext import encode, has_field, is_array, is_object
+from parley.functions.jsontext import encode, has_field, is_object
 from parley.functions.text import non_blank, strip
 from parley.schemas import DEFAULT_SYSTEM_PROMPT, LEAD_PREFIX
 
@@ -83,10 +83,9 @@ def validate_chat(conversations: Column) -> Column:
 def generated_text(output: Column) -> Column:
     """Answer text in a parsed model output (VARIANT)."""
     first = F.try_variant_get(output, "$[0]", "variant")
-    from_first = F.when(
-        has_field(first, "generated_text"), F.try_variant_get(first, "$.generated_text", "string")
-    ).otherwise(F.lit(""))
-    from_object = F.when(
-        has_field(output, "generated_text"), F.try_variant_get(output, "$.generated_text", "string")
-    ).otherwise(encode(output))
-    return F.when(is_array(output), from_first).when(is_object(output), from_object).otherwise(F.lit(""))
+    return (
+        F.when(has_field(first, "generated_text"), F.try_variant_get(first, "$.generated_text", "string"))
+        .when(has_field(output, "generated_text"), F.try_variant_get(output, "$.generated_text", "string"))
+        .when(first.isNull() & is_object(output), encode(output))
+        .otherwise(F.lit(""))
+    )

@@ -6,8 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Closes the array a text is wrapped in, see strict_parse.
+END_MARK = "#end-of-text#"
+
+
 def is_json(text: Column) -> Column:
-    """True when the whole text is one JSON value.
+    """True when the whole text is one JSON value. Works on texts of any size.
 
     Spark's parsers stop after the first value, so ``[1] x`` would pass. Two
     enclosing arrays settle it: an early closing bracket yields the same length
@@ -19,8 +23,23 @@ def is_json(text: Column) -> Column:
 
 
 def strict_parse(text: Column) -> Column:
-    """VARIANT of a text that is exactly one JSON value, else NULL."""
-    return F.when(is_json(text), F.try_parse_json(text))
+    """VARIANT of a text that is exactly one JSON value, else NULL.
+
+    One parse of the text in an array that ends in a mark: the mark comes second
+    only when the text is a single value. A text that holds the mark itself takes
+    the longer way.
+    """
+    marked = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{END_MARK}"]')))
+    # The lambda binds the parsed value, which is looked at twice, so it is parsed once.
+    single = F.filter(F.array(marked), lambda v: F.try_variant_get(v, "$[1]", "string") == END_MARK)
+    value = F.try_variant_get(F.get(single, F.lit(0)), "$[0]", "variant")
+    unsure = F.contains(text, F.lit(END_MARK))
+    return F.when(unsure, F.when(is_json(text), F.try_parse_json(text))).otherwise(value)
+
+
+def is_object_text(text: Column) -> Column:
+    """True for a text that begins like an object; cheaper than a look at the parsed value."""
+    return F.coalesce(F.rlike(text, F.lit(r"\A[ \t\r\n]*\{")), F.lit(False))
 
 
 def is_object(value: Column) -> Column:

@@ -90,7 +90,5 @@ def normalize_ws(c: Column) -> Column:
 
 def token_estimate(c: Column) -> Column:
     """Words times four thirds, rounded down; NULL gives 0."""
-    flat = normalize_ws(c)
-    blanks = F.length(flat) - F.length(F.replace(flat, F.lit(" "), F.lit("")))
-    words = F.when(flat == "", F.lit(0)).otherwise(blanks + 1)
+    words = F.size(F.array_remove(F.split(normalize_ws(c), " "), ""))
     return F.floor(F.coalesce(words, F.lit(0)) * 4 / 3).cast("bigint")

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parley.functions.jsontext import has_field, is_array, is_object, strict_parse
+from parley.functions.jsontext import has_field, is_object_text, strict_parse
 from parley.operators.merges import skip_done
 from parley.schemas import (
     BATCH_SIZE,
@@ -43,8 +43,8 @@ def line_reason(line: Column) -> Column:
     expected = F.array(*[F.lit(r) for r in CHAT_ROLES])
     return (
         F.when(v.isNull(), F.lit(BAD_JSON))
-        .when(~is_object(v) | ~has_field(v, "conversations"), F.lit(NO_CONVERSATIONS))
-        .when(~is_array(convs) | (F.coalesce(F.size(items), F.lit(0)) != 3), F.lit(NOT_THREE))
+        .when(convs.isNull(), F.lit(NO_CONVERSATIONS))
+        .when(items.isNull() | (F.size(items) != 3), F.lit(NOT_THREE))
         .when(~F.coalesce(roles == expected, F.lit(False)), F.lit(WRONG_ROLES))
     )
 
@@ -62,6 +62,11 @@ def verify_summary(verified: DataFrame) -> DataFrame:
     )
 
 
+def read_label(assistant: Column) -> Column:
+    """Label struct of the assistant text; NULL fields where it holds none."""
+    return F.from_json(assistant, LABEL)
+
+
 def label_audit(df: DataFrame, assistant: str = "assistant", brands: tuple[str, ...] = ()) -> DataFrame:
     """Adds ``label`` and ``violations`` (sorted names of broken rules, empty = good).
 
@@ -69,17 +74,12 @@ def label_audit(df: DataFrame, assistant: str = "assistant", brands: tuple[str,
     are checked only when given.
     """
     v = F.col("_v")
-    label = F.from_json(assistant, LABEL)
 
     def outside(name: str, allowed: tuple[str, ...]) -> Column:
         return F.coalesce(~F.col(f"label.{name}").isin(*allowed), F.lit(False))
 
-    def integer(name: str) -> Column:
-        return F.try_variant_get(v, f"$.{name}", "variant")
-
-    def wrong_type(name: str) -> Column:
-        kind = F.schema_of_variant(integer(name))
-        return F.coalesce(~kind.isin("BIGINT", "VOID"), F.lit(False))
+    def kind(name: str) -> Column:
+        return F.schema_of_variant(F.try_variant_get(v, f"$.{name}", "variant"))
 
     score = F.col("label.score")
     rules = {
@@ -87,15 +87,15 @@ def label_audit(df: DataFrame, assistant: str = "assistant", brands: tuple[str,
         "intent": outside("intent", LABEL_INTENTS),
         "missing_key": ~_all([has_field(v, f.name) for f in LABEL.fields]),
         "next_action": outside("next_action", LABEL_ACTIONS),
-        "score": F.coalesce(~score.between(0, 100), F.lit(False)) | _number_missing(v, "score"),
-        "timeline_months": wrong_type("timeline_months"),
+        "score": F.coalesce(~score.between(0, 100), F.lit(False)) | F.coalesce(kind("score") != "BIGINT", F.lit(False)),
+        "timeline_months": F.coalesce(~kind("timeline_months").isin("BIGINT", "VOID"), F.lit(False)),
         "urgency": outside("urgency", LABEL_URGENCIES),
     }
     broken = F.array_compact(F.array(*[F.when(rule, F.lit(name)) for name, rule in rules.items()]))
     return (
         df.withColumn("_v", strict_parse(F.col(assistant)))
-        .withColumn("label", label)
-        .withColumn("violations", F.when(is_object(v), broken).otherwise(F.array(F.lit("json"))))
+        .withColumn("label", read_label(F.col(assistant)))
+        .withColumn("violations", F.when(v.isNotNull() & is_object_text(F.col(assistant)), broken).otherwise(F.array(F.lit("json"))))
         .drop("_v")
     )
 
@@ -107,12 +107,6 @@ def _all(terms: list[Column]) -> Column:
     return every
 
 
-def _number_missing(v: Column, name: str) -> Column:
-    """Key present, but its value is no whole number."""
-    kind = F.schema_of_variant(F.try_variant_get(v, f"$.{name}", "variant"))
-    return has_field(v, name) & (kind != "BIGINT")
-
-
 @dataclass(frozen=True)
 class BatchRules:
     size: int = BATCH_SIZE

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley.functions.chat import chat_format, validate_chat
-from parley.functions.jsontext import encode, field_or, is_object, strict_parse
+from parley.functions.jsontext import encode, field_or, is_object_text, strict_parse
 from parley.functions.keys import record_key
 from parley.functions.text import mask_pii
 from parley.operators.ranks import global_index
@@ -81,11 +81,15 @@ def to_messages(docs: DataFrame, topic: str, doc_id: str = "doc_id") -> DataFram
 
 
 def parse_messages(messages: DataFrame) -> DataFrame:
-    """Message fields of topic rows, with ``is_message`` false for anything but an object."""
+    """Message fields of topic rows, with ``is_message`` false for anything but an object.
+
+    The one-element explode keeps a later filter from being pushed below the
+    parse, where it would repeat the parse for each field it mentions.
+    """
     v = F.col("_v")
-    return messages.withColumn("_v", strict_parse(F.col("value"))).select(
+    return messages.select("value", F.explode(F.array(strict_parse(F.col("value")))).alias("_v")).select(
         "value",
-        is_object(v).alias("is_message"),
+        (v.isNotNull() & is_object_text(F.col("value"))).alias("is_message"),
         field_or(v, "mongo_id", F.lit("")).alias("mongo_id"),
         field_or(v, "batch_num", F.lit(-1).cast("bigint"), "bigint").alias("batch_num"),
         field_or(v, "record_index", F.lit(-1).cast("bigint"), "bigint").alias("record_index"),

@@ -166,8 +166,8 @@ def label_audit(spark, sf):
 
 @query
 def batch_audit(spark, sf):
-    audited = quality.label_audit(t.labelled(spark, sf))
-    return quality.batch_audit(audited.filter(F.col("label.intent").isNotNull()).select("batch_num", "label.*"))
+    labels = t.labelled(spark, sf).select("batch_num", quality.read_label(F.col("assistant")).alias("label"))
+    return quality.batch_audit(labels.filter(F.col("label.intent").isNotNull()).select("batch_num", "label.*"))
 
 
 @query

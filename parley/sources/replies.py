@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parley.functions.jsontext import strict_parse
+from parley.functions.jsontext import is_json, strict_parse
 from parley.functions.text import SPACE, strip
 
 # ---- fixed values: reply syntax --------------------------------------------
@@ -51,5 +51,5 @@ def unparsed_replies(replies: DataFrame, raw: str, key: str) -> DataFrame:
     lines = F.transform(
         reply_lines(F.col(raw)), lambda x: F.regexp_replace(strip(x), BOM, "")
     )
-    parses = F.exists(lines, lambda x: (x != "") & strict_parse(x).isNotNull())
+    parses = F.exists(lines, lambda x: (x != "") & is_json(x))
     return replies.filter(~parses).select(key, F.col(raw).alias("raw"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from parley.functions.jsontext import encode, is_object, strict_parse
+from parley.functions.jsontext import encode, is_json, is_object_text
 from parley.functions.keys import record_key
 from parley.operators.merges import latest_per_key
 from parley.operators.ranks import BROADCAST_ROWS
@@ -82,7 +82,7 @@ def load_batch(batch: DataFrame, load_id: str, store: str, status_log: str | Non
     spark = batch.sparkSession
     batch.persist()
     try:
-        valid = batch.filter(is_object(strict_parse(F.col("value"))))
+        valid = batch.filter(is_object_text(F.col("value")) & is_json(F.col("value")))
         docs = latest_per_key(parse_processed(valid), ["source_id"])
         ids = docs.select("source_id")
         held = spark.read.parquet(store).filter(F.col("load_id") != load_id).select("source_id")
