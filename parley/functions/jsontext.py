@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 END_MARK = "#end-of-text#"
 
 
+def _may_be_json(text: Column) -> Column:
+    """False for text that cannot start a JSON value. Prose fails here at once,
+    whereas a failed parse costs an exception."""
+    return F.rlike(text, F.lit(r'\A[ \t\r\n]*(?:[\[{"0-9-]|true|false|null)'))
+
+
 def is_json(text: Column) -> Column:
     """True when the whole text is one JSON value. Works on texts of any size.
 
@@ -19,7 +25,7 @@ def is_json(text: Column) -> Column:
     """
     alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
     followed = F.json_array_length(F.concat(F.lit("["), text, F.lit(",0]")))
-    return F.coalesce((alone == 1) & (followed == 2), F.lit(False))
+    return F.coalesce(F.when(_may_be_json(text), (alone == 1) & (followed == 2)), F.lit(False))
 
 
 def strict_parse(text: Column) -> Column:
@@ -34,7 +40,7 @@ def strict_parse(text: Column) -> Column:
     single = F.filter(F.array(marked), lambda v: F.try_variant_get(v, "$[1]", "string") == END_MARK)
     value = F.try_variant_get(F.get(single, F.lit(0)), "$[0]", "variant")
     unsure = F.contains(text, F.lit(END_MARK))
-    return F.when(unsure, F.when(is_json(text), F.try_parse_json(text))).otherwise(value)
+    return F.when(unsure, F.when(is_json(text), F.try_parse_json(text))).when(_may_be_json(text), value)
 
 
 def is_object_text(text: Column) -> Column:

@@ -120,48 +120,48 @@ def batch_audit(labels: DataFrame, rules: BatchRules = BatchRules()) -> DataFram
     """One row per batch: a boolean per rule, true when the rule is kept.
 
     Input: ``batch_num, intent, score, brand_fit, next_action, preferred_locality``.
-    Brands and localities are counted per value first, so that a very large batch
-    is spread over its values and nothing is collected per batch.
+    Counts combine before each shuffle and nothing is collected per batch, so a
+    batch may hold any share of the rows.
     """
     drop = F.col("intent") == "drop"
     good_drop = (
         (F.col("score") <= rules.drop_max_score) & (F.col("next_action") == "drop") & (F.col("brand_fit") == NO_BRAND)
     )
-    counts = [F.count(F.lit(1)).alias("n")]
-    counts += [F.count_if(F.col("intent") == i).alias(f"intent_{i}") for i in rules.intent_mix]
-    counts += [F.count_if(F.col("score").between(lo, hi)).alias(f"tier_{lo}") for lo, hi in rules.score_tiers]
-    counts += [F.count_if(drop & ~F.coalesce(good_drop, F.lit(False))).alias("bad_drops")]
-    totals = labels.groupBy("batch_num").agg(*counts)
-
-    value = F.explode(
-        F.array(
-            F.struct(F.lit("brand").alias("kind"), F.col("brand_fit").alias("value")),
-            F.struct(F.lit("locality").alias("kind"), F.col("preferred_locality").alias("value")),
-        )
-    )
-    uses = (
-        labels.select("batch_num", value.alias("v"))
-        .filter(F.col("v.value").isNotNull() & ~((F.col("v.kind") == "brand") & (F.col("v.value") == NO_BRAND)))
-        .groupBy("batch_num", "v.kind", "v.value")
-        .agg(F.count(F.lit(1)).alias("uses"))
+    counts = {"n": F.count(F.lit(1))}
+    counts |= {f"intent_{i}": F.count_if(F.col("intent") == i) for i in rules.intent_mix}
+    counts |= {f"tier_{lo}": F.count_if(F.col("score").between(lo, hi)) for lo, hi in rules.score_tiers}
+    counts["bad_drops"] = F.count_if(drop & ~F.coalesce(good_drop, F.lit(False)))
+
+    # Each row counts for its batch, its brand and its locality, all in one pass.
+    brand = F.when(F.col("brand_fit") != NO_BRAND, F.col("brand_fit"))
+    roles = {"batch": F.lit(""), "brand": brand, "locality": F.col("preferred_locality")}
+    role = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), v.alias("value")) for k, v in roles.items()]))
+
+    def most(kind: str, count: str) -> Column:
+        return F.coalesce(F.max(F.when(F.col("kind") == kind, F.col(count))), F.lit(0))
+
+    totals = (
+        labels.withColumn("role", role)
+        .filter(F.col("role.value").isNotNull())
+        .groupBy("batch_num", "role.kind", "role.value")
+        .agg(*[c.alias(name) for name, c in counts.items()])
         .groupBy("batch_num")
         .agg(
-            F.coalesce(F.max(F.when(F.col("kind") == "brand", F.col("uses"))), F.lit(0)).alias("brand_uses"),
-            F.coalesce(F.max(F.when(F.col("kind") == "locality", F.col("uses"))), F.lit(0)).alias("locality_uses"),
+            *[most("batch", name).alias(name) for name in counts],
+            most("brand", "n").alias("brand_uses"),
+            most("locality", "n").alias("locality_uses"),
         )
     )
     checks = {
         "size_ok": F.col("n") == rules.size,
         "intent_mix_ok": _all([F.col(f"intent_{i}") == n for i, n in rules.intent_mix.items()]),
         "score_tiers_ok": _all([F.col(f"tier_{lo}") > 0 for lo, _ in rules.score_tiers]),
-        "brand_limit_ok": F.coalesce("brand_uses", F.lit(0)) <= rules.brand_limit,
-        "locality_unique_ok": F.coalesce("locality_uses", F.lit(0)) <= 1,
+        "brand_limit_ok": F.col("brand_uses") <= rules.brand_limit,
+        "locality_unique_ok": F.col("locality_uses") <= 1,
         "drops_ok": F.col("bad_drops") == 0,
     }
-    return (
-        totals.join(uses, "batch_num", "left")
-        .select("batch_num", "n", *[c.alias(name) for name, c in checks.items()])
-        .withColumn("passed", _all([F.col(name) for name in checks]))
+    return totals.select("batch_num", "n", *[c.alias(name) for name, c in checks.items()]).withColumn(
+        "passed", _all([F.col(name) for name in checks])
     )
 
 

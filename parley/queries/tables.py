@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from parley.functions.jsontext import encode
 from parley.functions.keys import record_key, request_id
-from parley.functions.text import normalize_ws
+from parley.functions.text import words
 from parley.operators.records import merge_batches
 
 
@@ -235,8 +235,7 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def token_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, full_ids, prompt_len``: the length of each word stands for its token id."""
-    words = F.array_remove(F.split(normalize_ws(F.col("text")), " "), "")
-    ids = F.transform(words, lambda w: F.length(w))
+    ids = F.transform(words(F.col("text")), lambda w: F.length(w))
     return (
         table(spark, sf_dir, "documents")
         .select("doc_id", ids.alias("full_ids"))
