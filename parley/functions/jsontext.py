@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 # Closes the array a text is wrapped in, see strict_parse.
 END_MARK = "#end-of-text#"
+# A VARIANT is limited to 16 MiB in the oldest version that has the type.
+VARIANT_BYTES = 16_000_000
 
 
 def _may_be_json(text: Column) -> Column:
@@ -16,16 +18,16 @@ def _may_be_json(text: Column) -> Column:
     return F.rlike(text, F.lit(r'\A[ \t\r\n]*(?:[\[{"0-9-]|true|false|null)'))
 
 
-def is_json(text: Column) -> Column:
-    """True when the whole text is one JSON value. Works on texts of any size.
+def _one_value(text: Column) -> Column:
+    """True when the text is one JSON value, for texts of any size.
 
     Spark's parsers stop after the first value, so ``[1] x`` would pass. Two
     enclosing arrays settle it: an early closing bracket yields the same length
-    in both, and so cannot give 1 and 2.
+    in both, and so cannot give 1 and 2. Single quotes pass here.
     """
     alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
     followed = F.json_array_length(F.concat(F.lit("["), text, F.lit(",0]")))
-    return F.coalesce(F.when(_may_be_json(text), (alone == 1) & (followed == 2)), F.lit(False))
+    return F.when(_may_be_json(text), (alone == 1) & (followed == 2))
 
 
 def strict_parse(text: Column) -> Column:
@@ -40,7 +42,15 @@ def strict_parse(text: Column) -> Column:
     single = F.filter(F.array(marked), lambda v: F.try_variant_get(v, "$[1]", "string") == END_MARK)
     value = F.try_variant_get(F.get(single, F.lit(0)), "$[0]", "variant")
     unsure = F.contains(text, F.lit(END_MARK))
-    return F.when(unsure, F.when(is_json(text), F.try_parse_json(text))).when(_may_be_json(text), value)
+    return F.when(unsure, F.when(_one_value(text), F.try_parse_json(text))).when(_may_be_json(text), value)
+
+
+def is_json(text: Column) -> Column:
+    """True when the whole text is one JSON value. Texts too long for a VARIANT
+    are checked by their structure."""
+    fits = F.octet_length(text) <= VARIANT_BYTES
+    found = F.when(fits, strict_parse(text).isNotNull()).otherwise(_one_value(text))
+    return F.coalesce(found, F.lit(False))
 
 
 def is_object_text(text: Column) -> Column:

@@ -45,7 +45,7 @@ def pack_sequences(
 ) -> DataFrame:
     """``shard, chunk, input_ids``: samples of a shard run together and cut every ``max_len``.
 
-    A shard is a hash class of the key, so shards are even; give it as many as
+    The key names a sample. A shard is a hash class of it, so shards are even; give it as many as
     the data has executor-sized parts. Positions are summed over lengths only. A
     chunk gathers at most ``max_len`` tokens. The last one of a shard may be short.
     """

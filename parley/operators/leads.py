@@ -103,7 +103,10 @@ def ingest_results(leads: DataFrame, outputs: DataFrame, at: Column, version: st
             F.max_by(F.struct("result", "raw"), F.col(version)).alias("_o"),
         )
     )
-    found = F.col("_n").isNotNull()
+    # Leads without a request would all meet in one task under a NULL join key;
+    # their own id spreads them, and `found` keeps them from matching.
+    wanted = F.coalesce("sagemaker_request_id", F.concat(F.lit("no request "), "_id"))
+    found = F.col("_n").isNotNull() & F.col("sagemaker_request_id").isNotNull()
 
     def kept(name: str, value: Column) -> Column:
         return F.when(found, value).otherwise(F.col(name)).alias(name)
@@ -114,10 +117,11 @@ def ingest_results(leads: DataFrame, outputs: DataFrame, at: Column, version: st
         "inference_raw_output": kept("inference_raw_output", F.col("_o.raw")),
         "inference_completed_at": kept("inference_completed_at", at),
     }
-    joined = leads.join(per_request, F.col("sagemaker_request_id") == F.col("request_id"), "left")
+    joined = leads.withColumn("request_id", wanted).join(per_request, "request_id", "left")
     updated = joined.select(*[changed.get(c, F.col(c)) for c in leads.columns])
 
-    known = leads.select(F.col("sagemaker_request_id").alias("request_id")).distinct().withColumn("_known", F.lit(True))
+    sent = leads.filter(F.col("sagemaker_request_id").isNotNull())
+    known = sent.select(F.col("sagemaker_request_id").alias("request_id")).distinct().withColumn("_known", F.lit(True))
     errors = outputs.agg(F.count_if(F.col("request_id").isNull())).scalar()
     total = F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint")
     hits = F.coalesce(F.sum(F.when(F.col("_known"), F.col("_n"))), F.lit(0)).cast("bigint")

@@ -37,15 +37,22 @@ def insert_if_absent(target: DataFrame, source: DataFrame, key: str) -> DataFram
 
 
 def plan_upsert(
-    target: DataFrame, source: DataFrame, key: str, overwrite: bool = False, version: str | None = None
+    target: DataFrame,
+    source: DataFrame,
+    key: str,
+    overwrite: bool = False,
+    version: str | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Both rows of each key as ``old`` and ``new``, with the ``action`` to take.
 
-    ``action`` is NULL for a target row the source does not mention.
+    ``action`` is NULL for a target row the source does not mention. ``unique``
+    states that the source has one row per key; otherwise it is reduced to that,
+    which shares its shuffle with the join.
     """
     columns = [c for c in target.columns if c != key]
     old = target.select(key, F.struct(*columns).alias("old"), F.lit(True).alias("has_old"))
-    fresh = source if version is None else latest_per_key(source, [key], version)
+    fresh = source if unique else latest_per_key(source, [key], version)
     new = fresh.select(key, F.struct(*columns).alias("new"), F.lit(True).alias("has_new"))
     changed = ~F.col("old").eqNullSafe(F.col("new"))
     action = (
@@ -64,6 +71,7 @@ def bulk_upsert(
     overwrite: bool = False,
     dry_run: bool = False,
     version: str | None = None,
+    unique: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Merged table and one row of ``inserted, updated, skipped, failed``.
 
@@ -72,7 +80,7 @@ def bulk_upsert(
     """
     columns = [c for c in target.columns if c != key]
     valid = source.filter(F.col(key).isNotNull())
-    plan = plan_upsert(target, valid, key, overwrite, version)
+    plan = plan_upsert(target, valid, key, overwrite, version, unique)
     take_new = F.col("action").isin(INSERTED, UPDATED)
     row = F.when(take_new, F.col("new")).otherwise(F.col("old"))
     merged = plan.select(key, row.alias("_row")).select(key, *[F.col(f"_row.{c}").alias(c) for c in columns])

@@ -13,7 +13,7 @@ from parley.schemas import BATCH_TOKEN, DEFAULT_SYSTEM_PROMPT
 from parley.sinks.files import write_batches, write_splits
 from parley.sources.batches import explode_records, scan_files
 
-KEY = ("batch_num", "record_index")
+KEY = ("file_name", "record_index")
 
 
 def clean(spark: SparkSession, raw_dir: str, interim: str, names: Column | None = None) -> DataFrame:
@@ -24,7 +24,7 @@ def clean(spark: SparkSession, raw_dir: str, interim: str, names: Column | None
     files = scan_files(spark, raw_dir)
     records = with_defaults(explode_records(files))
     masked = clean_records(records, names).select("file_name", "batch_num", "record_index", "user", "assistant")
-    write_batches(masked, interim)
+    write_batches(masked, interim, "file_name")
     sizes = files.select("file_name", F.when(F.col("state") == "ok", F.col("n_records")).otherwise(0).alias("n_records"))
     return sizes.withColumnRenamed("file_name", "batch_num")
 

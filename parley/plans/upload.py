@@ -30,7 +30,7 @@ def upload(
         target = spark.read.parquet(current)
     except AnalysisException:
         target = source.limit(0)
-    merged, stats = bulk_upsert(target, source, "global_index", overwrite, dry_run)
+    merged, stats = bulk_upsert(target, source, "global_index", overwrite, dry_run, unique=True)
     if not dry_run:
         merged.write.mode("errorifexists").parquet(result)
     return stats

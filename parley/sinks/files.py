@@ -6,27 +6,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from parley.operators.merges import skip_done
+from parley.operators.ranks import broadcast_if_small
 
 
-def done_batches(spark, path: str) -> DataFrame | None:
-    """Batch numbers already in the sink, or None when nothing was written yet."""
+def done_batches(spark, path: str, key: str) -> DataFrame | None:
+    """Batches already in the sink, or None when nothing was written yet."""
     try:
-        return spark.read.parquet(path).select("batch_num")
+        return spark.read.parquet(path).select(key).distinct()
     except AnalysisException:
         return None
 
 
-def write_batches(df: DataFrame, path: str) -> None:
+def write_batches(df: DataFrame, path: str, key: str = "batch_num") -> None:
     """Append batches the sink does not hold yet.
 
-    ``batch_num`` stays a column: a folder per batch of thirty records would end
-    in millions of tiny files. Rows are ranged by it, so its min/max statistics
-    still prune a read of a few batches. The record index splits a large batch.
+    The batch stays a column: a folder per batch of thirty records would end in
+    millions of tiny files. The list of batches is broadcast when it was counted
+    to be short, so records are written where they were read.
     """
-    done = done_batches(df.sparkSession, path)
-    todo = df if done is None else skip_done(df, done, "batch_num")
-    todo.repartitionByRange("batch_num", "record_index").write.mode("append").parquet(path)
+    done = done_batches(df.sparkSession, path, key)
+    todo = df if done is None else df.join(broadcast_if_small(done)[0], key, "left_anti")
+    todo.write.mode("append").parquet(path)
 
 
 def write_splits(df: DataFrame, path: str, order: str = "shuffle_key") -> None:

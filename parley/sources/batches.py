@@ -14,7 +14,8 @@ BATCH_GLOB = "batch_*.json"
 def scan_files(spark: SparkSession, path: str, glob: str = BATCH_GLOB) -> DataFrame:
     """One row per file: ``file_name, body, n_records, state``.
 
-    ``state`` is ``ok``, ``empty``, ``not_array`` or ``bad_json``.
+    ``state`` is ``ok``, ``empty``, ``not_array`` or ``bad_json``. A JSON array cannot
+    be split, so each file is one row and has to stay below 2 GB.
     """
     body = F.col("value")
     n = F.json_array_length(body)
