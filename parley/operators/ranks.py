@@ -34,9 +34,10 @@ def _range_positions(df: DataFrame, *order: str, partitions: int | None = None)
     Once written, the positions no longer depend on sampled range bounds, so a
     lost executor cannot change them between the two passes that use them.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Without a number, adaptive execution may merge neighbouring small ranges.
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     row = F.monotonically_increasing_id()
-    placed = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_row", row)
+    placed = ranged.sortWithinPartitions(*order).withColumn("_row", row)
     # The id holds the partition in its upper bits and the row in the lower 33.
     return cut_lineage(
         placed.select("*", F.shiftright("_row", 33).alias("_part"), F.col("_row").bitwiseAND((1 << 33) - 1).alias("_pos")).drop("_row")

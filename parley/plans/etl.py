@@ -76,6 +76,7 @@ def run_etl(
         layout.checkpoint("load"),
         f"{layout.status_log}/load",
         layout.stats,
+        f"{layout.root}/load_rejects",
         available_now=not parallel,
     )
     if parallel:

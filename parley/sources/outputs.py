@@ -17,13 +17,19 @@ def parse_output(body: Column) -> Column:
 
 def outputs_of(objects: DataFrame, key: str = "key", body: str = "body") -> DataFrame:
     """``key, request_id, result, raw`` of each output object; input payloads are left out."""
+    wrapped = F.struct(F.col("body").alias("raw_output"))
     parsed = objects.filter(is_output_key(F.col(key))).select(
         F.col(key).alias("key"),
         result_request_id(F.col(key)).alias("request_id"),
-        parse_output(F.col(body)).alias("output"),
+        F.col(body).alias("body"),
+        strict_parse(F.col(body)).alias("json"),
     )
+    output = F.coalesce("json", F.to_variant_object(wrapped))
     return parsed.select(
-        "key", "request_id", generated_text(F.col("output")).alias("result"), encode(F.col("output")).alias("raw")
+        "key",
+        "request_id",
+        generated_text(output).alias("result"),
+        F.when(F.col("json").isNull(), encode(wrapped)).otherwise(F.col("body")).alias("raw"),
     )
 
 

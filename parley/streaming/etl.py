@@ -73,7 +73,14 @@ def open_store(spark: SparkSession, store: str) -> None:
     spark.createDataFrame([], PROCESSED_DOC).write.mode("overwrite").parquet(f"{store}/load_id=open")
 
 
-def load_batch(batch: DataFrame, load_id: str, store: str, status_log: str | None, stats: str | None) -> None:
+def load_batch(
+    batch: DataFrame,
+    load_id: str,
+    store: str,
+    status_log: str | None = None,
+    stats: str | None = None,
+    rejects: str | None = None,
+) -> None:
     """Insert-if-absent of one micro-batch, written under its own ``load_id``.
 
     A replay overwrites just its own partition and does not count that partition
@@ -82,7 +89,8 @@ def load_batch(batch: DataFrame, load_id: str, store: str, status_log: str | Non
     spark = batch.sparkSession
     batch.persist()
     try:
-        valid = batch.filter(is_object_text(F.col("value")) & is_json(F.col("value")))
+        sound = F.coalesce(is_object_text(F.col("value")) & is_json(F.col("value")), F.lit(False))
+        valid = batch.filter(sound)
         docs = latest_per_key(parse_processed(valid), ["source_id"])
         ids = docs.select("source_id")
         held = spark.read.parquet(store).filter(F.col("load_id") != load_id).select("source_id")
@@ -96,6 +104,10 @@ def load_batch(batch: DataFrame, load_id: str, store: str, status_log: str | Non
         if status_log:
             done = ids.filter(F.col("source_id") != "").select(F.col("source_id").alias("doc_id"))
             append_status(done, ETL_DONE, f"{status_log}/load_id={load_id}", "overwrite")
+        if rejects:
+            reason = F.lit("not a JSON object").alias("_dlq_reason")
+            bad = batch.filter(~sound).select(F.col("value").alias("raw_value"), reason)
+            bad.write.mode("overwrite").parquet(f"{rejects}/load_id={load_id}")
         if stats:
             inserted = spark.read.schema(PROCESSED_DOC).parquet(f"{store}/load_id={load_id}").agg(F.count(F.lit(1)))
             loaded = valid.agg(F.count(F.lit(1)).alias("loaded"))
@@ -115,15 +127,21 @@ def stream_load(
     checkpoint: str,
     status_log: str | None = None,
     stats: str | None = None,
+    rejects: str | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Loads processed-topic rows into the store, once per ``source_id``."""
+    """Loads processed-topic rows into the store, once per ``source_id``.
+
+    Every micro-batch reads the store's id column, so give it as many messages
+    per trigger as the executors can take. Messages that are no JSON objects go
+    to ``rejects``.
+    """
     # Batch numbers start at 0 in each checkpoint; its digest keeps them apart.
     writer = hashlib.md5(checkpoint.encode()).hexdigest()[:8]
     open_store(processed.sparkSession, store)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        load_batch(batch, f"{writer}-{batch_id}", store, status_log, stats)
+        load_batch(batch, f"{writer}-{batch_id}", store, status_log, stats, rejects)
 
     sink = processed.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     sink = sink.trigger(availableNow=True) if available_now else sink.trigger(processingTime="1 second")

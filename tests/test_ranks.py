@@ -58,7 +58,7 @@ def test_split_moves_no_rows(spark):
 
 def test_global_rank(spark):
     orders = spark.read.parquet(f"{SF}/orders.parquet").repartition(5)
-    for parts in (1, 4, 16):
+    for parts in (None, 1, 4, 16):
         ranked = ranks.global_rank(orders, "o_orderdate", "o_orderkey", partitions=parts).collect()
         assert sorted(r["rank"] for r in ranked) == list(range(len(ranked)))
         in_order = sorted(ranked, key=lambda r: r["rank"])

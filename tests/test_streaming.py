@@ -61,10 +61,11 @@ def test_load_batch_replay_and_redelivery(spark, tmp_path):
     etl.load_batch(rows, "w-0", store, None, stats)  # replay of the same batch
     assert spark.read.parquet(store).count() == 8
     more = rows.union(rows).union(spark.createDataFrame([("k", "broken", PROCESSED)], rows.schema))
-    etl.load_batch(more, "w-1", store, None, stats)  # redelivery, twice over
+    etl.load_batch(more, "w-1", store, None, stats, f"{tmp_path}/rejects")  # redelivery, twice over
     assert spark.read.parquet(store).count() == 8
     got = {r["load_id"]: (r["loaded"], r["inserted"], r["skipped"], r["failed"]) for r in spark.read.parquet(stats).collect()}
     assert got == {"w-0": (8, 8, 0, 0), "w-1": (16, 0, 16, 1)}
+    assert [r["raw_value"] for r in spark.read.parquet(f"{tmp_path}/rejects").collect()] == ["broken"]
 
 
 def check_run(spark, tmp_path, parallel):
