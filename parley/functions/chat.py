@@ -9,7 +9,16 @@ from pyspark.sql import functions as F
 
 from parley.functions.jsontext import encode, has_field, is_object
 from parley.functions.text import non_blank, strip
-from parley.schemas import DEFAULT_SYSTEM_PROMPT, LEAD_PREFIX
+from parley.schemas import (
+    CHAT_ROLES,
+    DEFAULT_SYSTEM_PROMPT,
+    EMPTY_ASSISTANT,
+    EMPTY_USER,
+    LEAD_PREFIX,
+    NULL_ASSISTANT,
+    NULL_USER,
+    WRONG_LENGTH,
+)
 
 
 def message(role: str, content: Column) -> Column:
@@ -17,7 +26,8 @@ def message(role: str, content: Column) -> Column:
 
 
 def chat_format(user: Column, assistant: Column, system: str = DEFAULT_SYSTEM_PROMPT) -> Column:
-    return F.array(message("system", F.lit(system)), message("user", user), message("assistant", assistant))
+    contents = (F.lit(system), user, assistant)
+    return F.array(*[message(role, content) for role, content in zip(CHAT_ROLES, contents)])
 
 
 def inference_messages(text: Column, system: str = DEFAULT_SYSTEM_PROMPT) -> Column:
@@ -72,11 +82,11 @@ def validate_chat(conversations: Column) -> Column:
     n = F.coalesce(F.size(conversations), F.lit(0))
     user, assistant = _content(conversations, "user"), _content(conversations, "assistant")
     return (
-        F.when(n != 3, F.concat(F.lit("conversations length="), F.greatest(n, F.lit(0)).cast("string"), F.lit(", expected 3")))
-        .when(user.isNull(), F.lit("null user content"))
-        .when(~non_blank(user), F.lit("Empty user content after PII clean"))
-        .when(assistant.isNull(), F.lit("null assistant content"))
-        .when(~non_blank(assistant), F.lit("Empty assistant content after PII clean"))
+        F.when(n != 3, F.concat(F.lit(WRONG_LENGTH[0]), F.greatest(n, F.lit(0)).cast("string"), F.lit(WRONG_LENGTH[1])))
+        .when(user.isNull(), F.lit(NULL_USER))
+        .when(~non_blank(user), F.lit(EMPTY_USER))
+        .when(assistant.isNull(), F.lit(NULL_ASSISTANT))
+        .when(~non_blank(assistant), F.lit(EMPTY_ASSISTANT))
     )
 
 

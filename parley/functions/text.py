@@ -23,29 +23,31 @@ PHONE_TOKEN = "[PHONE]"
 NAME_TOKEN = "[NAME]"
 
 _EDGE = f"(?:(?<=[{WORD}])(?![{WORD}])|(?<![{WORD}])(?=[{WORD}]))"
-_SEP = f"[{SPACE}.-]?"
 
-# ---- fixed values: masking patterns ----------------------------------------
-EMAIL = _EDGE + r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}" + _EDGE
-PHONE_IN = rf"(?<!{DIGIT})(?:\+?91{_SEP})?[6-9]{DIGIT}{{9}}(?!{DIGIT})"
-_COUNTRY = rf"(?:\+?{DIGIT}{{1,3}}{_SEP})?"
-_LOCAL = rf"{DIGIT}{{3}}{_SEP}{DIGIT}{{4}}"
+# ---- fixed values: masking patterns, in Python syntax ----------------------
+EMAIL = r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b"
+PHONE_IN = r"(?<!\d)(?:\+?91[\s.-]?)?[6-9]\d{9}(?!\d)"
 # The strict form wants a literal question mark before the area code.
-PHONE_STRICT = rf"(?<!{DIGIT}){_COUNTRY}(?:\?\(?{DIGIT}{{3}}\)?{_SEP})?{_LOCAL}(?!{DIGIT})"
-PHONE_CORRECTED = rf"(?<!{DIGIT}){_COUNTRY}(?:\(?{DIGIT}{{3}}\)?{_SEP})?{_LOCAL}(?!{DIGIT})"
+PHONE_STRICT = r"(?<!\d)(?:\+?\d{1,3}[\s.-]?)?(?:\?\(?\d{3}\)?[\s.-]?)?\d{3}[\s.-]?\d{4}(?!\d)"
+PHONE_CORRECTED = r"(?<!\d)(?:\+?\d{1,3}[\s.-]?)?(?:\(?\d{3}\)?[\s.-]?)?\d{3}[\s.-]?\d{4}(?!\d)"
+
+
+def java(pattern: str) -> str:
+    """The pattern with the Unicode-aware classes it has in Python, for Spark's regex functions."""
+    return pattern.replace(r"\d", DIGIT).replace(r"\s", SPACE).replace(r"\b", _EDGE)
 
 
 def mask_email(c: Column) -> Column:
     # Most texts hold no "@"; the byte search is far cheaper than the pattern.
-    return F.when(F.contains(c, F.lit("@")), F.regexp_replace(c, EMAIL, EMAIL_TOKEN)).otherwise(c)
+    return F.when(F.contains(c, F.lit("@")), F.regexp_replace(c, java(EMAIL), EMAIL_TOKEN)).otherwise(c)
 
 
 def mask_phone_in(c: Column) -> Column:
-    return F.regexp_replace(c, PHONE_IN, PHONE_TOKEN)
+    return F.regexp_replace(c, java(PHONE_IN), PHONE_TOKEN)
 
 
 def mask_phone(c: Column, strict: bool = True) -> Column:
-    return F.regexp_replace(c, PHONE_STRICT if strict else PHONE_CORRECTED, PHONE_TOKEN)
+    return F.regexp_replace(c, java(PHONE_STRICT if strict else PHONE_CORRECTED), PHONE_TOKEN)
 
 
 def longest_first(names: Column) -> Column:

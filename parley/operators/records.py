@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley.functions.chat import chat_format, validate_chat
-from parley.functions.jsontext import encode, field_or, is_object_text, strict_parse
+from parley.functions.jsontext import encode, field_or, is_json, is_object_text, strict_parse
 from parley.functions.keys import record_key
 from parley.functions.text import mask_pii
 from parley.operators.ranks import global_index
-from parley.schemas import DEFAULT_SYSTEM_PROMPT, ETL_DONE, ETL_PENDING, PROCESSED_MESSAGE
+from parley.schemas import DEFAULT_SYSTEM_PROMPT, ETL_DONE, ETL_PENDING, PROCESSED_MESSAGE, REJECTED
 
 MESSAGE_FIELDS = ("mongo_id", "batch_num", "record_index", "user", "assistant")
 
@@ -133,7 +133,7 @@ def processed_struct(system: str = DEFAULT_SYSTEM_PROMPT) -> Column:
 def dead_letter_value() -> Column:
     """The incoming payload with ``_dlq_reason``; text that is no message is kept raw."""
     reason = F.when(
-        F.col("is_message"), F.concat(F.lit("Quality check failed: "), F.col("reason"))
+        F.col("is_message"), F.concat(F.lit(REJECTED), F.col("reason"))
     ).otherwise(F.lit("not a JSON object"))
     payload = F.struct(*MESSAGE_FIELDS, reason.alias("_dlq_reason"))
     raw = F.struct(F.col("value").alias("raw_value"), reason.alias("_dlq_reason"))
@@ -141,9 +141,14 @@ def dead_letter_value() -> Column:
 
 
 def parse_processed(messages: DataFrame) -> DataFrame:
-    """Processed documents of processed-topic rows; ``source_id`` is the raw document's id."""
+    """Processed documents of processed-topic rows; ``source_id`` is the raw document's id.
+
+    A value that is no JSON object is kept as ``raw_value``, which is NULL otherwise.
+    """
+    value = F.col("value")
+    sound = F.coalesce(is_object_text(value) & is_json(value), F.lit(False))
     m = F.from_json("value", PROCESSED_MESSAGE)
-    return messages.select(m.alias("m")).select(
+    return messages.select(m.alias("m"), F.when(~sound, value).alias("raw_value")).select(
         F.coalesce("m.source_mongo_id", F.lit("")).alias("source_id"),
         F.col("m.conversations").alias("conversations"),
         F.lit(ETL_DONE).alias("etl_status"),
@@ -152,4 +157,5 @@ def parse_processed(messages: DataFrame) -> DataFrame:
             F.coalesce("m.batch_num", F.lit(-1).cast("bigint")).alias("batch_num"),
             F.coalesce("m.record_index", F.lit(-1).cast("bigint")).alias("record_index"),
         ).alias("metadata"),
+        "raw_value",
     )

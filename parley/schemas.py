@@ -24,6 +24,14 @@ CHAT_ROLES = ("system", "user", "assistant")
 LEAD_PREFIX = "Lead conversation:\n"
 BATCH_TOKEN = "[1-34]"
 
+# ---- fixed values: reject reasons ------------------------------------------
+WRONG_LENGTH = ("conversations length=", ", expected 3")
+EMPTY_USER = "Empty user content after PII clean"
+EMPTY_ASSISTANT = "Empty assistant content after PII clean"
+NULL_USER = "null user content"
+NULL_ASSISTANT = "null assistant content"
+REJECTED = "Quality check failed: "
+
 # The prompt is data, not logic: pass the one your model was tuned with.
 DEFAULT_SYSTEM_PROMPT = (
     "You are a lead qualification assistant. Read the conversation and answer with one JSON object."

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from parley.functions.jsontext import encode, is_json, is_object_text
+from parley.functions.jsontext import encode
 from parley.functions.keys import record_key
 from parley.operators.merges import latest_per_key
 from parley.operators.ranks import BROADCAST_ROWS
@@ -69,8 +69,8 @@ def log_failures(dead_letters: DataFrame, status_log: str) -> None:
 
 
 def open_store(spark: SparkSession, store: str) -> None:
-    """Gives a new store its schema, by an empty load; has no effect on a store in use."""
-    spark.createDataFrame([], PROCESSED_DOC).write.mode("overwrite").parquet(f"{store}/load_id=open")
+    """Gives a new store its schema, by an empty load; does nothing to a store in use."""
+    spark.createDataFrame([], PROCESSED_DOC).write.mode("ignore").parquet(f"{store}/load_id=open")
 
 
 def load_batch(
@@ -87,16 +87,15 @@ def load_batch(
     as already present, so running a batch twice equals running it once.
     """
     spark = batch.sparkSession
-    batch.persist()
+    parsed = parse_processed(batch).persist()
     try:
-        sound = F.coalesce(is_object_text(F.col("value")) & is_json(F.col("value")), F.lit(False))
-        valid = batch.filter(sound)
-        docs = latest_per_key(parse_processed(valid), ["source_id"])
-        ids = docs.select("source_id")
+        valid = parsed.filter(F.col("raw_value").isNull()).drop("raw_value")
+        docs = latest_per_key(valid, ["source_id"])
+        ids = valid.select("source_id").distinct()
         held = spark.read.parquet(store).filter(F.col("load_id") != load_id).select("source_id")
         # Look the batch up in the store, not the store in the batch: with a
         # batch counted to be small the store is scanned in place, not shuffled.
-        n = batch.count()
+        n = parsed.count()
         wanted = F.broadcast(ids) if n <= BROADCAST_ROWS else ids
         present = held.join(wanted, "source_id", "left_semi").distinct()
         fresh = docs.join(present, "source_id", "left_anti")
@@ -106,7 +105,7 @@ def load_batch(
             append_status(done, ETL_DONE, f"{status_log}/load_id={load_id}", "overwrite")
         if rejects:
             reason = F.lit("not a JSON object").alias("_dlq_reason")
-            bad = batch.filter(~sound).select(F.col("value").alias("raw_value"), reason)
+            bad = parsed.filter(F.col("raw_value").isNotNull()).select("raw_value", reason)
             bad.write.mode("overwrite").parquet(f"{rejects}/load_id={load_id}")
         if stats:
             inserted = spark.read.schema(PROCESSED_DOC).parquet(f"{store}/load_id={load_id}").agg(F.count(F.lit(1)))
@@ -118,7 +117,7 @@ def load_batch(
                 (F.lit(n) - F.col("loaded")).alias("failed"),
             ).write.mode("overwrite").parquet(f"{stats}/load_id={load_id}")
     finally:
-        batch.unpersist()
+        parsed.unpersist()
 
 
 def stream_load(
