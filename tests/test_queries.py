@@ -26,7 +26,7 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.QUERIES) == set(entry.ORACLE)
 
 
 @pytest.mark.parametrize("name", SAMPLE)
