@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,10 +57,14 @@ def utf8(column) -> object:
     return F.coalesce(column.cast("binary"), F.lit(b""))
 
 
+def utf8_length(text: str) -> object:
+    return F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long")
+
+
 def chunks(batch: pa.RecordBatch, column: int, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of ``batch`` of about ``limit`` bytes in a binary column; a longer value is a slice of its own."""
     start, held = 0, 0
-    sizes = pa.compute.binary_length(batch.column(column)).to_pylist()
+    sizes = pc.binary_length(batch.column(column)).to_pylist()
     for i, size in enumerate(sizes):
         if held and held + (size or 0) > limit:
             yield batch.slice(start, i - start)

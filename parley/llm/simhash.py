@@ -20,9 +20,9 @@ MAX_DISTANCE = 3
 # Fingerprints the tree is fitted on; all are routed through it.
 TREE_SAMPLE = 16_384
 # Leaves of the tree are not cut below about this many of all fingerprints.
-LEAF = 4096
+LEAF = 16_384
 # Fingerprints that one task compares: residents of a leaf, and those that come to them.
-RESIDENTS, VISITORS = 8192, 32_768
+RESIDENTS, VISITORS = 16_384, 65_536
 BLOCK = 1 << 16
 CELLS = 1 << 21
 
