@@ -17,9 +17,9 @@ from parley.llm.common import Memo, utf8, with_python_columns
 # Labelled documents the model is fitted on, at most; the rest of the labels can test it.
 TRAIN_ROWS = 12_000
 BUCKETS = 1 << 18
-EPOCHS, RATE, DECAY, MIN_TEXTS = 200, 0.05, 1e-6, 8
+EPOCHS, RATE, DECAY, MIN_TEXTS = 300, 0.05, 3e-4, 8
 # Features are shares of a text's words, scaled; a few words more are counted, so that short texts say less.
-SCALE, EXTRA = 10.0, 8
+SCALE, EXTRA = 50.0, 8
 REPEAT = 0
 SHAPE = bytes(
     65 if 65 <= b <= 90 else 97 if 97 <= b <= 122 else 48 if 48 <= b <= 57 else 117 if b >= 128 else b for b in range(256)
@@ -79,7 +79,7 @@ def fit(vectors: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, top: i
     n = len(vectors)
     params = np.zeros(len(seen) + top)
     params[-top] = -1.0
-    mean, square = np.zeros_like(params), np.zeros_like(params)
+    moment, square = np.zeros_like(params), np.zeros_like(params)
     for step in range(1, EPOCHS + 1):
         w, first, steps = params[: len(seen)], params[-top], np.exp(params[len(params) - top + 1 :])
         cuts = first + np.r_[0.0, np.cumsum(steps)]
@@ -98,9 +98,9 @@ def fit(vectors: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, top: i
             cut_gradient.sum(),
             [cut_gradient[k:].sum() * steps[k - 1] for k in range(1, top)],
         ]
-        mean = 0.9 * mean + 0.1 * gradient
+        moment = 0.9 * moment + 0.1 * gradient
         square = 0.999 * square + 0.001 * gradient**2
-        params = params + RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
+        params = params + RATE * (moment / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
     weights = np.zeros(BUCKETS)
     weights[seen] = params[: len(seen)]
     return OrdinalModel(weights, params[-top] + np.r_[0.0, np.cumsum(np.exp(params[len(params) - top + 1 :]))])
@@ -182,6 +182,6 @@ def ratings_of(labels: DataFrame) -> DataFrame:
     return labels.select("doc_id", grade.alias("grade")).where("grade is not null")
 
 
-def selected(tails: str = "tails", grade: int = 2, least: float = 0.5):
+def selected(tails: str = "tails", grade: int = 1, least: float = 0.5):
     """True where the probability of at least ``grade`` reaches ``least``; documents without tails stay."""
     return F.coalesce(F.element_at(F.col(tails), grade) >= least, F.lit(True))

@@ -6,14 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import bpe, fingerprints, licenses
+from parley.llm import bpe, fingerprints, licenses, quality
 from parley.llm.common import documents, utf8_length
 from parley.llm.embeddings import embedding_groups
 from parley.llm.packing import pack_documents
+from parley.llm.pii import replace_pii
 from parley.llm.simhash import simhash_groups
 from parley.llm.token_counts import with_token_counts
+from parley.llm.urls import judge_urls
 
 TOKEN_LIMIT = 4096
+TOP_GRADE = 2
+# For the test tables; a real run passes a secret of its own.
+SURROGATE_KEY = "test tables"
 
 
 def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +42,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return replace_pii(docs, SURROGATE_KEY, count="n_replaced")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     digest = {"ids_crc32": F.crc32("ids")}
@@ -45,6 +55,18 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(documents(spark, sf_dir, "pages"))
+
+
+def op7_quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = quality.fit_documents(docs, quality.ratings_of(documents(spark, sf_dir, "labels")), TOP_GRADE)
+    graded = quality.with_grades(docs, model)
+    tails = [F.element_at("tails", k).alias(f"p_at_least_{k}") for k in range(1, TOP_GRADE + 1)]
+    return graded.select("doc_id", "expected_grade", *tails, quality.selected().alias("kept"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = licenses.with_licenses(documents(spark, sf_dir).select("doc_id", "text"))
     found = [c.alias(n) for n, c in licenses.label_columns().items()]

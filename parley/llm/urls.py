@@ -135,6 +135,6 @@ def judge_urls(
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("u"))
     rows = rows.select("page_id", host_of(u).alias("host"), path_of(u).alias("path"), address_of(u).alias("address"))
     rows = rows.withColumn("best", best_rule(F.col("host"), F.col("path"), rules))
-    found = rows.join(blocked, rows.address == blocked.alias, "left")
+    found = rows.join(blocked, F.col("address") == F.col("alias"), "left")
     verdict = F.coalesce("best.action", F.when(F.col("alias").isNotNull(), "block").otherwise("allow"))
     return found.select("page_id", "host", "path", F.col("best.rule").alias("rule"), verdict.alias("verdict"))
