@@ -19,7 +19,8 @@ SHINGLE_WORDS = 3
 MAX_DISTANCE = 3
 # Fingerprints the tree is fitted on; all are routed through it.
 TREE_SAMPLE = 16_384
-# Leaves of the tree are not cut below about this many of all fingerprints.
+# Leaves of the tree are not cut below about this many of all fingerprints. Each cut sends those near its
+# boundary to both sides, which costs more than comparing them within a task until leaves are this large.
 LEAF = 16_384
 # Fingerprints that one task compares: residents of a leaf, and those that come to them.
 RESIDENTS, VISITORS = 16_384, 65_536
