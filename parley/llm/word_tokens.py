@@ -40,7 +40,7 @@ class WordTokenizer:
         return Memo(self.encode_words)
 
     def encode_words(self, words: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
