@@ -1,5 +1,41 @@
 """DuckDB SQL for the queries it can express."""
 
+from parley.llm import urls
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _address(url: str) -> str:
+    rest = f"substr({url}, instr({url}, '://') + 3)"
+    part = lambda i: f"regexp_extract({rest}, {_text(urls.HOST_PATH)}, {i})"
+    host = f"translate({part(1)}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    path = f"case when {part(2)} = '' then '/' else {part(2)} end"
+    query = f"case when {part(3)} = '?' then '' else {part(3)} end"
+    return f"case when instr({url}, '://') > 0 then {host} || {path} || {query} end"
+
+
+def _host(url: str) -> str:
+    part = f"regexp_extract(substr({url}, instr({url}, '://') + 3), {_text(urls.HOST_PATH)}, 1)"
+    low = f"translate({part}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"case when instr({url}, '://') > 0 then {low} else '' end"
+
+
+def _path(url: str) -> str:
+    part = f"regexp_extract(substr({url}, instr({url}, '://') + 3), {_text(urls.HOST_PATH)}, 2)"
+    return f"case when instr({url}, '://') > 0 then {part} else '' end"
+
+
+def _best(of: str, host: str, path: str) -> str:
+    """The rule that decides; ``of`` picks its action or its text."""
+    cases = []
+    for action, rule in sorted(set(urls.RULES), key=lambda r: (-len(r[1]), r[1], r[0])):
+        own, slash, rest = rule.partition("/")
+        fits = f"({host} = '{own}' or ends_with({host}, '.{own}')) and starts_with({path}, '{slash}{rest}')"
+        cases.append(f"when {fits} then '{action if of == 'action' else rule}'")
+    return f"case {' '.join(cases)} end"
+
 ORACLE = {
     "op1_embedding_dedup": """
 with recursive v as (
@@ -21,5 +57,44 @@ with recursive v as (
 select e.vec_id, coalesce(n, 0)::bigint as n_links, c as component_id, e.vec_id = c as kept
 from embeddings e join component on component.a = e.vec_id
 left join (select a, count(*) n from links group by a) x on x.a = e.vec_id
+""",
+    "op6_url_filter": f"""
+with recursive tags as (
+    select url, unnest(regexp_extract_all(html, {_text(urls.TAG)})) tag from pages
+    where url is not null and regexp_matches(html, {_text(urls.HAS_LINK)})
+), named as (
+    select url, replace(trim(case
+        when regexp_matches(tag, {_text(urls.CANONICAL)}) then regexp_extract(tag, {_text(urls.HREF)}, 1)
+            || regexp_extract(tag, {_text(urls.HREF)}, 2) || regexp_extract(tag, {_text(urls.HREF)}, 3)
+        when regexp_matches(tag, {_text(urls.REFRESH)}) then regexp_extract(tag, {_text(urls.REFRESH_URL)}, 1)
+        end), '&amp;', '&') target, 'x://' || {_host("url")} base, {_path("url")} path
+    from tags
+), resolved as (
+    select url, case
+        when regexp_matches(target, {_text(urls.ABSOLUTE)}) then target
+        when starts_with(target, '//') then 'x:' || target
+        when starts_with(target, '/') then base || target
+        when starts_with(target, '?') then base || path || target
+        when starts_with(target, '#') or regexp_matches(target, {_text(urls.SCHEME)}) then null
+        else base || regexp_replace(case when path = '' then '/' else path end, '[^/]*$', '') || target end as target
+    from named where target <> ''
+), links as (
+    select {_address("url")} a, {_address("target")} b from resolved
+), both_ways as (
+    select a, b from links where a <> b union select b, a from links where a <> b
+), reach(a, b) as (
+    select a, a from both_ways union select r.a, l.b from reach r join both_ways l on r.b = l.a
+), component as (
+    select a, min(b) c from reach group by a
+), judged as (
+    select a, c, {_best("action", _host("'x://' || a"), _path("'x://' || a"))} as verdict from component
+), blocked as (
+    select c from judged group by c having bool_or(coalesce(verdict = 'block', false)) and not bool_or(coalesce(verdict = 'allow', false))
+), parsed as (
+    select page_id, coalesce({_host("url")}, '') host, coalesce({_path("url")}, '') path, {_address("url")} address from pages
+)
+select page_id, host, path, {_best("rule", "host", "path")} as rule,
+    coalesce({_best("action", "host", "path")}, case when b.c is not null then 'block' else 'allow' end) as verdict
+from parsed left join component k on k.a = address left join blocked b on b.c = k.c
 """,
 }

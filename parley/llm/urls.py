@@ -29,28 +29,25 @@ SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
 HOST_PATH = r"^([^/?#]*)([^?#]*)(\??[^#]*)"
 
 
-def after_scheme(url: Column) -> Column:
-    """What follows the first ``://``; null if there is none."""
-    return F.when(F.instr(url, "://") > 0, F.substring(url, F.instr(url, F.lit("://")) + 3, F.length(url)))
+def with_address(df: DataFrame, url: str) -> DataFrame:
+    """``df`` with host, path and address of a column of urls.
 
-
-def host_of(url: Column) -> Column:
-    host = F.regexp_extract(after_scheme(url), HOST_PATH, 1)
-    return F.coalesce(F.translate(host, string.ascii_uppercase, string.ascii_lowercase), F.lit(""))
-
-
-def path_of(url: Column) -> Column:
-    return F.coalesce(F.regexp_extract(after_scheme(url), HOST_PATH, 2), F.lit(""))
-
-
-def address_of(url: Column) -> Column:
-    """Host, path and query: what aliases share whatever their scheme and fragment. Null without ``://``."""
-    query = F.regexp_extract(after_scheme(url), HOST_PATH, 3)
-    path = path_of(url)
-    return F.when(
-        after_scheme(url).isNotNull(),
-        F.concat(host_of(url), F.when(path == "", "/").otherwise(path), F.when(query != "?", query).otherwise("")),
+    The host, A-Z lower-cased, is what follows the first ``://`` up to ``/``,
+    ``?`` or ``#``, the path what follows up to ``?`` or ``#``; both are empty for a
+    null url or one without ``://``. The address is what aliases share whatever
+    their scheme and fragment: host, path and query; null where there is no ``://``.
+    """
+    start = F.instr(url, "://")
+    rest = F.when(start > 0, F.substring(F.col(url), start + 3, F.length(url)))
+    # Step by step: an expression used several times is worked out once.
+    parts = df.withColumn("__rest", rest).withColumns(
+        {f"__{i}": F.coalesce(F.regexp_extract("__rest", HOST_PATH, i), F.lit("")) for i in (1, 2, 3)}
     )
+    parts = parts.withColumn("host", F.translate("__1", string.ascii_uppercase, string.ascii_lowercase))
+    query = F.when(F.col("__3") == "?", "").otherwise(F.col("__3"))
+    address = F.concat("host", F.when(F.col("__2") == "", "/").otherwise(F.col("__2")), query)
+    parts = parts.withColumns({"path": F.col("__2"), "address": F.when(F.col("__rest").isNotNull(), address)})
+    return parts.drop("__rest", "__1", "__2", "__3")
 
 
 def best_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> Column:
@@ -70,7 +67,7 @@ def best_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> Colum
 
 
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(a, b): addresses of pages and of what their canonical links and refreshes name.
+    """(a, b): addresses of pages and of what their canonical links and refreshes name, null where that is no address.
 
     Relative references are resolved against the page's address; references
     with another scheme than a web address's are left out.
@@ -79,24 +76,23 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
         F.col(url).alias("url"), F.explode(F.regexp_extract_all(F.col(html), F.lit(TAG), F.lit(0))).alias("tag")
     )
     href = F.concat(*[F.regexp_extract("tag", HREF, i) for i in (1, 2, 3)])
-    to = F.when(F.col("tag").rlike(CANONICAL), href).when(
+    named = F.when(F.col("tag").rlike(CANONICAL), href).when(
         F.col("tag").rlike(REFRESH), F.regexp_extract("tag", REFRESH_URL, 1)
     )
-    found = tags.select("url", F.replace(F.trim(to), F.lit("&amp;"), F.lit("&")).alias("to")).where("to != ''")
-    base = F.concat(F.lit("x://"), host_of(F.col("url")))
+    found = tags.select("url", F.replace(F.trim(named), F.lit("&amp;"), F.lit("&")).alias("to")).where("to != ''")
+    found = with_address(found, "url").withColumnRenamed("address", "a").withColumn("base", F.concat(F.lit("x://"), "host"))
     # A page without a path is at the root.
-    folder = F.regexp_replace(F.when(path_of(F.col("url")) == "", "/").otherwise(path_of(F.col("url"))), "[^/]*$", "")
+    folder = F.regexp_replace(F.when(F.col("path") == "", "/").otherwise(F.col("path")), "[^/]*$", "")
     target = (
         F.when(F.col("to").rlike(ABSOLUTE), F.col("to"))
         .when(F.startswith("to", F.lit("//")), F.concat(F.lit("x:"), "to"))
-        .when(F.startswith("to", F.lit("/")), F.concat(base, "to"))
-        .when(F.startswith("to", F.lit("?")), F.concat(base, path_of(F.col("url")), "to"))
+        .when(F.startswith("to", F.lit("/")), F.concat("base", "to"))
+        .when(F.startswith("to", F.lit("?")), F.concat("base", "path", "to"))
         .when(F.startswith("to", F.lit("#")) | F.col("to").rlike(SCHEME), None)
-        .otherwise(F.concat(base, folder, "to"))
-    )
-    return found.select(address_of(F.col("url")).alias("a"), address_of(target).alias("b")).where(
-        "a is not null and b is not null and a != b"
+        .otherwise(F.concat(F.col("base"), folder, F.col("to")))
     )
+    found = with_address(found.select("a", target.alias("target")), "target").withColumnRenamed("address", "b")
+    return found.select("a", "b")
 
 
 def judge_urls(
@@ -112,7 +108,7 @@ def judge_urls(
     A page's own rule decides, so an explicit allow is never overruled. A page
     without one is blocked if it is an alias of a blocked address: if a chain
     of canonical links, refreshes and ``links`` (a, b: addresses as
-    ``address_of`` gives them, such as a redirect log) joins them, and no
+    ``with_address`` gives them, such as a redirect log) joins them, and no
     address of that chain is explicitly allowed. All others are allowed. A null
     url, or one without ``://``, has an empty host and path, no rule and no
     alias. Null html has no links. Rows repeat as they do in ``pages``; further
@@ -120,20 +116,19 @@ def judge_urls(
     list that every task holds; addresses stay distributed.
     """
     scratch = Scratch(pages.sparkSession, "urls")
-    edges = page_links(pages, url, html)
+    # Written first, since a filter on the addresses would be worked out from the pages again.
+    edges = scratch.write(page_links(pages, url, html))
     if links is not None:
         edges = edges.unionByName(links.select("a", "b"))
     linked = connected_components(edges, scratch)
-    at = F.concat(F.lit("x://"), F.col("node"))
-    judged = linked.withColumn("action", best_rule(host_of(at), path_of(at), rules)["action"])
+    at = with_address(linked.withColumn("at", F.concat(F.lit("x://"), "node")), "at")
+    judged = at.withColumn("action", best_rule(F.col("host"), F.col("path"), rules)["action"])
     aliases = judged.groupBy("component").agg(
-        F.bool_or(F.col("action").eqNullSafe("block")).alias("blocked"),
-        F.bool_or(F.col("action").eqNullSafe("allow")).alias("allowed"),
+        F.bool_or(F.col("action").eqNullSafe(F.lit("block"))).alias("blocked"),
+        F.bool_or(F.col("action").eqNullSafe(F.lit("allow"))).alias("allowed"),
     )
     blocked = aliases.where("blocked and not allowed").join(linked, "component").select(F.col("node").alias("alias"))
-    u = F.col("u")
-    rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("u"))
-    rows = rows.select("page_id", host_of(u).alias("host"), path_of(u).alias("path"), address_of(u).alias("address"))
+    rows = with_address(pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("__url")), "__url").drop("__url")
     rows = rows.withColumn("best", best_rule(F.col("host"), F.col("path"), rules))
     found = rows.join(blocked, F.col("address") == F.col("alias"), "left")
     verdict = F.coalesce("best.action", F.when(F.col("alias").isNotNull(), "block").otherwise("allow"))
