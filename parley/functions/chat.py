@@ -91,10 +91,11 @@ def validate_chat(conversations: Column) -> Column:
 
 
 def generated_text(output: Column) -> Column:
-    """Answer text in a parsed model output (VARIANT)."""
+    """Answer text in a parsed model output (VARIANT); NULL for a list that begins with no object."""
     first = F.try_variant_get(output, "$[0]", "variant")
     return (
-        F.when(has_field(first, "generated_text"), F.try_variant_get(first, "$.generated_text", "string"))
+        F.when(first.isNotNull() & ~is_object(first), F.lit(None).cast("string"))
+        .when(has_field(first, "generated_text"), F.try_variant_get(first, "$.generated_text", "string"))
         .when(has_field(output, "generated_text"), F.try_variant_get(output, "$.generated_text", "string"))
         .when(first.isNull() & is_object(output), encode(output))
         .otherwise(F.lit(""))

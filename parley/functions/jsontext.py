@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
 # Closes the array a text is wrapped in, see strict_parse.
 END_MARK = "#end-of-text#"
-# A VARIANT is limited to 16 MiB in the oldest version that has the type.
-VARIANT_BYTES = 16_000_000
+# Both mean strict quotes; the second engine reads texts of any length.
+STRICT = {"allowSingleQuotes": "false"}
+KEEP_LAST = "spark.sql.variant.allowDuplicateKeys"
 
 
 def _may_be_json(text: Column) -> Column:
@@ -23,10 +24,10 @@ def _one_value(text: Column) -> Column:
 
     Spark's parsers stop after the first value, so ``[1] x`` would pass. Two
     enclosing arrays settle it: an early closing bracket yields the same length
-    in both, and so cannot give 1 and 2. Single quotes pass here.
+    in both, and so cannot give 1 and 2.
     """
-    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
-    followed = F.json_array_length(F.concat(F.lit("["), text, F.lit(",0]")))
+    alone = F.size(F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>", STRICT))
+    followed = F.size(F.from_json(F.concat(F.lit("["), text, F.lit(",0]")), "array<string>", STRICT))
     return F.when(_may_be_json(text), (alone == 1) & (followed == 2))
 
 
@@ -35,8 +36,13 @@ def strict_parse(text: Column) -> Column:
 
     One parse of the text in an array that ends in a mark: the mark comes second
     only when the text is a single value. A text that holds the mark itself takes
-    the longer way.
+    the longer way. The last of a repeated key counts, as JSON readers commonly
+    have it; Spark is told so in the session. A value too long for a VARIANT gives
+    NULL, too: callers keep its whole text among their rejects.
     """
+    session = SparkSession.getActiveSession()
+    if session is not None and session.conf.get(KEEP_LAST, "false") != "true":
+        session.conf.set(KEEP_LAST, "true")
     marked = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{END_MARK}"]')))
     # The lambda binds the parsed value, which is looked at twice, so it is parsed once.
     single = F.filter(F.array(marked), lambda v: F.try_variant_get(v, "$[1]", "string") == END_MARK)
@@ -46,11 +52,8 @@ def strict_parse(text: Column) -> Column:
 
 
 def is_json(text: Column) -> Column:
-    """True when the whole text is one JSON value. Texts too long for a VARIANT
-    are checked by their structure."""
-    fits = F.octet_length(text) <= VARIANT_BYTES
-    found = F.when(fits, strict_parse(text).isNotNull()).otherwise(_one_value(text))
-    return F.coalesce(found, F.lit(False))
+    """True when the whole text is one JSON value, by the same reading for texts of any length."""
+    return F.coalesce(_one_value(text), F.lit(False))
 
 
 def is_object_text(text: Column) -> Column:

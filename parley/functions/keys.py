@@ -9,11 +9,14 @@ from parley.schemas import INPUT_PREFIX
 
 
 def batch_number(file: Column) -> Column:
-    """Number between the first and second underscore of the file stem, else 0."""
+    """Number between the first and second underscore of the file stem, 0 where none stands there.
+
+    A number beyond 64 bits gives NULL: such a file is reported, not mixed up with others.
+    """
     name = F.substring_index(file, "/", -1)
     stem = F.regexp_replace(name, r"(?<=.)\.[^.]*\z", "")
     part = F.trim(F.get(F.split(stem, "_"), F.lit(1)))
-    return F.coalesce(part.try_cast("int"), F.lit(0))
+    return F.when(F.rlike(part, F.lit(r"\A[+-]?[0-9]+\z")), part.try_cast("bigint")).otherwise(F.lit(0).cast("bigint"))
 
 
 def record_key(batch_num: Column, record_index: Column) -> Column:

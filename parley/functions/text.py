@@ -7,6 +7,8 @@ and a combining mark does not count as a letter), and they match faster.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -65,15 +67,26 @@ def mask_names(c: Column, names: Column) -> Column:
     return F.aggregate(ordered, c, lambda text, name: F.replace(text, name, F.lit(NAME_TOKEN)))
 
 
-def mask_pii(c: Column, names: Column | None = None, strict: bool = True) -> Column:
+# Name lists: one column for all fields, or a function from a field's masked text to its names.
+Names = Column | Callable[[Column], Column] | None
+
+
+def mask_pii(c: Column, names: Names = None, strict: bool = True) -> Column:
     """E-mail, then Indian mobile, then phone, then names; NULL stays NULL.
 
+    A function in place of a list is given the text after the other masks, so that
+    each field has the names found in it.
     Either phone pattern ends in four digits, so a text without such a run skips both.
     """
     unmailed = mask_email(c)
     phones = mask_phone(mask_phone_in(unmailed), strict)
     masked = F.when(F.rlike(c, F.lit(f"{DIGIT}{{4}}")), phones).otherwise(unmailed)
-    return masked if names is None else mask_names(masked, names)
+    if names is None:
+        return masked
+    if isinstance(names, Column):
+        return mask_names(masked, names)
+    # The lambda binds the masked text, which the names and the result both need.
+    return F.get(F.transform(F.array(masked), lambda t: mask_names(t, names(t))), F.lit(0))
 
 
 def strip(c: Column) -> Column:

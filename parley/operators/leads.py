@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from parley.functions.chat import inference_messages
 from parley.functions.jsontext import encode
 from parley.functions.keys import request_id
+from parley.operators.merges import first_per_key
 from parley.schemas import (
     DEFAULT_SYSTEM_PROMPT,
     GENERATION_PARAMETERS,
@@ -52,8 +53,11 @@ def apply_dispatch(leads: DataFrame, sent: DataFrame, at: Column) -> DataFrame:
     """Leads with the outcome of a dispatch.
 
     ``sent``: ``_id, request_id, output_location, error``; a non-NULL error marks
-    the lead as failed, so it can be tried again.
+    the lead as failed, so it can be tried again. A lead listed several times counts
+    with its smallest row, a success before a failure.
     """
+    tried = sent.withColumn("_failed", F.col("error").isNotNull())
+    sent = first_per_key(tried, ["_id"], "_failed").drop("_failed")
     ok = F.col("request_id").isNotNull() & F.col("error").isNull()
     bad = F.col("error").isNotNull()
 
@@ -93,10 +97,12 @@ def ingest_results(leads: DataFrame, outputs: DataFrame, at: Column, version: st
 
     ``outputs``: ``key, request_id, result, raw``. Every output counts in the stats.
     Outputs are reduced to one row per request before the join, so a request
-    delivered very often does not gather in one task; the last key wins.
+    delivered very often does not gather in one task; the last key wins. Outputs
+    without a request id or an answer that can be read count as errors and leave their lead as it is.
     """
+    bad = F.col("request_id").isNull() | F.col("result").isNull()
     per_request = (
-        outputs.filter(F.col("request_id").isNotNull())
+        outputs.filter(~bad)
         .groupBy("request_id")
         .agg(
             F.count(F.lit(1)).alias("_n"),
@@ -122,7 +128,7 @@ def ingest_results(leads: DataFrame, outputs: DataFrame, at: Column, version: st
 
     sent = leads.filter(F.col("sagemaker_request_id").isNotNull())
     known = sent.select(F.col("sagemaker_request_id").alias("request_id")).distinct().withColumn("_known", F.lit(True))
-    errors = outputs.agg(F.count_if(F.col("request_id").isNull())).scalar()
+    errors = outputs.agg(F.count_if(bad)).scalar()
     total = F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint")
     hits = F.coalesce(F.sum(F.when(F.col("_known"), F.col("_n"))), F.lit(0)).cast("bigint")
     stats = (

@@ -4,36 +4,52 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 INSERTED, UPDATED, SKIPPED = "inserted", "updated", "skipped"
+COUNTS = (INSERTED, UPDATED, SKIPPED, "failed")
 
 
-def latest_per_key(df: DataFrame, keys: list[str], version: str | None = None) -> DataFrame:
-    """One row per key: the one with the highest version, or any when none is given.
+def latest_per_key(df: DataFrame, keys: list[str], version: str) -> DataFrame:
+    """One row per key: the one with the highest version, of equal ones the greatest row.
 
     Partial aggregation thins out a hot key before the shuffle.
     """
+    return _one_per_key(df, keys, lambda row: F.max(F.struct(F.col(version).alias("v"), row.alias("row")))["row"])
+
+
+def first_per_key(df: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
+    """One row per key: the lowest by ``order``, of equal ones or without an order the smallest row.
+
+    Either way the choice does not depend on partitions or on the order of arrival.
+    """
+    if order is None:
+        return _one_per_key(df, keys, F.min)
+    return _one_per_key(df, keys, lambda row: F.min(F.struct(F.col(order).alias("v"), row.alias("row")))["row"])
+
+
+def _one_per_key(df: DataFrame, keys: list[str], choose) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
-    row = F.struct(*rest) if rest else F.lit(None)
-    chosen = F.any_value(row) if version is None else F.max_by(row, F.col(version))
+    if not rest:
+        return df.distinct()
+    chosen = choose(F.struct(*rest))
     return df.groupBy(*keys).agg(chosen.alias("_row")).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
-def upsert_replace(target: DataFrame, source: DataFrame, keys: list[str], version: str | None = None) -> DataFrame:
-    """Target with every row of the source put in place of the row with its key."""
+def upsert_replace(target: DataFrame, source: DataFrame, keys: list[str], version: str) -> DataFrame:
+    """Target with the latest row of each key of the source put in place of the row with its key."""
     fresh = latest_per_key(source, keys, version).select(*target.columns)
     return target.join(fresh.select(*keys), keys, "left_anti").unionByName(fresh)
 
 
-def new_rows(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """Source rows whose key the target lacks, one per key."""
-    return latest_per_key(source.join(target.select(key), key, "left_anti"), [key])
+def new_rows(target: DataFrame, source: DataFrame, key: str, order: str | None = None) -> DataFrame:
+    """Source rows whose key the target lacks, the first of each key."""
+    return first_per_key(source.join(target.select(key), key, "left_anti"), [key], order)
 
 
-def insert_if_absent(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    return target.unionByName(new_rows(target, source, key))
+def insert_if_absent(target: DataFrame, source: DataFrame, key: str, order: str | None = None) -> DataFrame:
+    return target.unionByName(new_rows(target, source, key, order).select(*target.columns))
 
 
 def plan_upsert(
@@ -47,12 +63,15 @@ def plan_upsert(
     """Both rows of each key as ``old`` and ``new``, with the ``action`` to take.
 
     ``action`` is NULL for a target row the source does not mention. ``unique``
-    states that the source has one row per key; otherwise it is reduced to that,
-    which shares its shuffle with the join.
+    states that the source has one row per key; otherwise it is reduced to the one
+    of the highest ``version``, or to the smallest row, which shares its shuffle with the join.
     """
     columns = [c for c in target.columns if c != key]
     old = target.select(key, F.struct(*columns).alias("old"), F.lit(True).alias("has_old"))
-    fresh = source if unique else latest_per_key(source, [key], version)
+    if unique:
+        fresh = source
+    else:
+        fresh = first_per_key(source, [key]) if version is None else latest_per_key(source, [key], version)
     new = fresh.select(key, F.struct(*columns).alias("new"), F.lit(True).alias("has_new"))
     changed = ~F.col("old").eqNullSafe(F.col("new"))
     action = (
@@ -92,6 +111,29 @@ def bulk_upsert(
     return merged, plan.agg(*counts).withColumn("failed", failed.scalar())
 
 
+def merge_counted(
+    target: DataFrame,
+    source: DataFrame,
+    key: str,
+    counts: Observation,
+    overwrite: bool = False,
+    version: str | None = None,
+    unique: bool = False,
+) -> DataFrame:
+    """The merged table of :func:`bulk_upsert`; writing it fills ``counts`` with the stats, so nothing runs twice.
+
+    Source rows without a key take part as rows of their own, are counted as failed and left out.
+    """
+    columns = [c for c in target.columns if c != key]
+    plan = plan_upsert(target, source.filter(F.col(key).isNotNull()), key, overwrite, version, unique)
+    lost = source.filter(F.col(key).isNull()).select(key, F.struct(*columns).alias("new"), F.lit("failed").alias("action"))
+    rows = plan.select(key, "old", "new", "action").unionByName(lost, allowMissingColumns=True)
+    seen = rows.observe(counts, *[F.count_if(F.col("action") == a).alias(a) for a in COUNTS])
+    kept = seen.filter("action is null or action != 'failed'")
+    row = F.when(F.col("action").isin(INSERTED, UPDATED), F.col("new")).otherwise(F.col("old"))
+    return kept.select(key, row.alias("_row")).select(key, *[F.col(f"_row.{c}").alias(c) for c in columns])
+
+
 def set_status(docs: DataFrame, ids: DataFrame, status: str, key: str = "doc_id", column: str = "etl_status") -> DataFrame:
     """Documents with the status set on the listed ids."""
     hit = ids.select(key).distinct().withColumn("_hit", F.lit(True))
@@ -120,6 +162,7 @@ def or_na(c: Column) -> Column:
 def run_report(metrics: DataFrame, training: DataFrame, registration: DataFrame, deployment: DataFrame) -> DataFrame:
     """One row per evaluated run; what a run lacks reads "n/a".
 
+    A run listed several times in a table counts with its smallest row there.
     Run tables carry no broadcast hint: Spark broadcasts them when their measured
     size allows and sorts otherwise.
     """
@@ -128,7 +171,8 @@ def run_report(metrics: DataFrame, training: DataFrame, registration: DataFrame,
         registration.select("run_id", "model_package_arn"),
         deployment.select("run_id", "endpoint_name", F.col("status").alias("deployment_status")),
     ]
-    joined = reduce(lambda a, b: a.join(b, "run_id", "left"), parts, metrics)
+    parts = [first_per_key(p, ["run_id"]) for p in parts]
+    joined = reduce(lambda a, b: a.join(b, "run_id", "left"), parts, first_per_key(metrics, ["run_id"]))
     fields = ("val_loss", "perplexity", "quality_tier", "record_count", "model_s3_prefix", "model_package_arn")
     return joined.select(
         "run_id", *[or_na(F.col(c)).alias(c) for c in (*fields, "endpoint_name", "deployment_status")]

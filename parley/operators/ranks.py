@@ -24,7 +24,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[D
 
     Pass a materialised table: the count runs at once.
     """
-    small = df.limit(max_rows + 1).count() <= max_rows
+    small = df.count() <= max_rows
     return (F.broadcast(df) if small else df), small
 
 

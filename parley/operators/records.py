@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from parley.functions.chat import chat_format, validate_chat
 from parley.functions.jsontext import encode, field_or, is_json, is_object_text, strict_parse
 from parley.functions.keys import record_key
-from parley.functions.text import mask_pii
+from parley.functions.text import Names, mask_pii
 from parley.operators.ranks import global_index
 from parley.schemas import DEFAULT_SYSTEM_PROMPT, ETL_DONE, ETL_PENDING, PROCESSED_MESSAGE, REJECTED
 
@@ -23,11 +23,18 @@ def with_defaults(df: DataFrame, record: str = "record") -> DataFrame:
     )
 
 
-def clean_records(df: DataFrame, names: Column | None = None, strict: bool = True) -> DataFrame:
+def clean_records(df: DataFrame, names: Names = None, strict: bool = True) -> DataFrame:
     """Masks ``user`` and ``assistant`` and leaves other columns alone."""
     return df.withColumns({c: mask_pii(F.col(c), names, strict) for c in ("user", "assistant")})
 
 
+def other_fields(record: str = "record") -> Column:
+    """JSON text of a record's keys other than ``user`` and ``assistant``, NULL where it has none."""
+    fields = F.try_variant_get(F.col(record), "$", "map<string,variant>")
+    rest = F.map_filter(fields, lambda k, _: ~k.isin("user", "assistant"))
+    return F.when(F.cardinality(rest) > 0, F.to_json(rest))
+
+
 def to_raw_docs(df: DataFrame) -> DataFrame:
     """Raw documents in state pending; ``raw_record`` is the record's own JSON text."""
     return df.select(
@@ -99,7 +106,7 @@ def parse_messages(messages: DataFrame) -> DataFrame:
 
 
 def transform_records(
-    records: DataFrame, system: str = DEFAULT_SYSTEM_PROMPT, names: Column | None = None, strict: bool = True
+    records: DataFrame, system: str = DEFAULT_SYSTEM_PROMPT, names: Names = None, strict: bool = True
 ) -> DataFrame:
     """Mask, format and validate: adds ``conversations`` and ``reason`` (NULL = accepted).
 

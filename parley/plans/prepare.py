@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parley.functions.chat import chat_format
+from parley.functions.text import Names
 from parley.operators.merges import skip_done
 from parley.operators.ranks import split_assign
-from parley.operators.records import clean_records, with_defaults
+from parley.operators.records import clean_records, other_fields, with_defaults
 from parley.schemas import BATCH_TOKEN, DEFAULT_SYSTEM_PROMPT
 from parley.sinks.files import write_batches, write_splits
 from parley.sources.batches import explode_records, scan_files
@@ -16,14 +17,16 @@ from parley.sources.batches import explode_records, scan_files
 KEY = ("file_name", "record_index")
 
 
-def clean(spark: SparkSession, raw_dir: str, interim: str, names: Column | None = None) -> DataFrame:
+def clean(spark: SparkSession, raw_dir: str, interim: str, names: Names = None) -> DataFrame:
     """Masks batch files into the interim table; returns records per batch file.
 
     Batches already there are skipped. A file without records counts as failed.
+    What else a record holds goes along as JSON text in ``extra``, unmasked as in its file.
     """
     files = scan_files(spark, raw_dir)
     records = with_defaults(explode_records(files))
-    masked = clean_records(records, names).select("file_name", "batch_num", "record_index", "user", "assistant")
+    records = records.withColumn("extra", other_fields())
+    masked = clean_records(records, names).select("file_name", "batch_num", "record_index", "user", "assistant", "extra")
     write_batches(masked, interim, "file_name")
     sizes = files.select("file_name", F.when(F.col("state") == "ok", F.col("n_records")).otherwise(0).alias("n_records"))
     return sizes.withColumnRenamed("file_name", "batch_num")

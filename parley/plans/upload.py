@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 
-from parley.operators.merges import bulk_upsert
+from parley.operators.merges import COUNTS, bulk_upsert, merge_counted
 from parley.operators.records import with_defaults, with_provenance
+from parley.session import exists
 from parley.sources.batches import explode_records, scan_files
 
 
@@ -23,14 +23,14 @@ def upload(
     """Merges the unified documents into the table at ``current`` and writes it to ``result``.
 
     A folder cannot be overwritten while it is read, so the caller swaps the two.
-    Returns the stats row.
+    Returns the stats row, counted while the result was written.
     """
     source = unified(spark, raw_dir)
-    try:
-        target = spark.read.parquet(current)
-    except AnalysisException:
-        target = source.limit(0)
-    merged, stats = bulk_upsert(target, source, "global_index", overwrite, dry_run, unique=True)
-    if not dry_run:
-        merged.write.mode("errorifexists").parquet(result)
-    return stats
+    target = spark.read.parquet(current) if exists(spark, current) else spark.createDataFrame([], source.schema)
+    if dry_run:
+        return bulk_upsert(target, source, "global_index", overwrite, dry_run, unique=True)[1]
+    counted = Observation("upload")
+    merged = merge_counted(target, source, "global_index", counted, overwrite, unique=True)
+    merged.write.mode("errorifexists").parquet(result)
+    found = counted.get
+    return spark.createDataFrame([tuple(found[c] for c in COUNTS)], ", ".join(f"{c} bigint" for c in COUNTS))

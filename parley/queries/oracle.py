@@ -28,6 +28,13 @@ def mask(c: str) -> str:
     return twice(twice(twice(c, EMAIL, "EMAIL"), PHONE_IN, "PHONE"), PHONE, "PHONE")
 
 
+def named(c: str) -> str:
+    """Names found in the field itself: all of five letters, so they go in the order they stand."""
+    found = f"regexp_extract_all({c}, '([A-Z][a-z]{{4}}) ', 1)"
+    first = f"list_transform(list_sort(list_distinct(list_transform({found}, lambda n: {{'i': list_position({found}, n), 'n': n}}))), lambda s: s.n)"
+    return f"list_reduce(list_prepend({c}, {first}), lambda acc, n: replace(acc, n, '[NAME]'))"
+
+
 def strip(c: str) -> str:
     return f"regexp_replace({c}, '^[{S}]+|[{S}]+$', '', 'g')"
 
@@ -204,7 +211,38 @@ SELECT mongo_id, batch_num, record_index, {mask('"user"')} AS "user", {mask('ass
     "token_estimate": f"""
 SELECT doc_id, (len(regexp_extract_all(text, '[^{S}]+')) * 4 // 3)::BIGINT AS tokens FROM documents""",
     "batch_number": """
-SELECT doc_id, CASE WHEN lang IN ('fr', 'de') THEN 0 ELSE doc_id END::INTEGER AS batch_num FROM documents""",
+SELECT doc_id, CASE WHEN lang IN ('fr', 'de') THEN 0 ELSE doc_id END::BIGINT AS batch_num FROM documents""",
+    "upsert_latest": """
+SELECT c_custkey AS user_id, -1::BIGINT AS event_id, 'customer' AS event_type FROM customer
+WHERE c_custkey NOT IN (SELECT user_id FROM events WHERE user_id IS NOT NULL)
+UNION ALL
+SELECT user_id, max(event_id), arg_max(event_type, event_id) FROM events GROUP BY 1""",
+    "insert_first": """
+SELECT o_orderkey AS l_orderkey, 0 AS l_linenumber, 0 AS l_partkey, 0 AS l_suppkey FROM orders WHERE o_orderstatus = 'F'
+UNION ALL
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS r FROM lineitem)
+WHERE r = 1 AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')""",
+    "batch_number_large": """
+SELECT o_orderkey, TRY_CAST(o_orderkey::HUGEINT * 4000000007 * CASE WHEN o_orderkey % 5 = 0 THEN 1000000000 ELSE 1 END AS BIGINT) AS batch_num
+FROM orders""",
+    "clean_records_names": f"""WITH {RECORDS}, masked AS (
+  SELECT mongo_id, {mask('"user"')} AS u, {mask('assistant')} AS a FROM records)
+SELECT mongo_id, {named('u')} AS "user", {named('a')} AS assistant FROM masked""",
+    "dispatch": f"""WITH {LEADS}, outcome AS (
+  SELECT *, inference_status = 'pending' AS tried, inference_status = 'pending' AND _id LIKE '%3' AS bad FROM leads)
+SELECT _id, CASE WHEN bad THEN 'error' WHEN tried THEN 'processing' ELSE inference_status END AS inference_status,
+       CASE WHEN tried AND NOT bad THEN 'r-' || _id WHEN sent THEN rid END AS sagemaker_request_id,
+       CASE WHEN tried AND NOT bad THEN 'out/' || _id END AS sagemaker_output_s3,
+       CASE WHEN bad THEN 'throttled' END AS inference_error,
+       CASE WHEN tried AND NOT bad THEN '2024-02-01 00:00:00' END AS triggered_at,
+       CASE WHEN bad THEN '2024-02-01 00:00:00' END AS error_at FROM outcome""",
+    "etl_run": f"""WITH {STORE_DOCS}, waiting AS (
+  SELECT *, {REASON} AS reason FROM (SELECT * FROM docs WHERE etl_status = 'pending'))
+SELECT count(*) AS published, count(*) FILTER (reason IS NULL) AS transformed, count(reason) AS failed, count(reason) AS dlq,
+       count(*) FILTER (reason IS NULL) AS loaded, count(*) FILTER (reason IS NULL) AS inserted, 0::BIGINT AS skipped, '1' AS run
+FROM waiting
+UNION ALL SELECT 0, 0, 0, 0, 0, 0, 0, '2'""",
     "result_request_id": """
 -- The key ends in "%20+" (two blanks once decoded), the id and a suffix that is stripped.
 WITH names AS (

@@ -13,6 +13,7 @@ from parley.functions.jsontext import encode
 from parley.functions.keys import batch_number, is_output_key, result_request_id
 from parley.functions.tokens import supervised_tokens
 from parley.operators import arrays, leads, merges, monitoring, quality, ranks, records, runs
+from parley.plans.etl import EtlLayout, run_etl
 from parley.plans.prepare import batch_range, format_and_split, generation_worklist
 from parley.queries import tables as t
 from parley.session import scratch_path
@@ -251,7 +252,75 @@ def upsert_raw(spark, sf):
         F.lit("done").alias("etl_status"),
     )
     fresh = records.to_raw_docs(t.turn_pairs(spark, sf).withColumn("raw_record", F.lit("pair")))
-    return merges.upsert_replace(present, fresh, ["batch_num", "record_index"])
+    return merges.upsert_replace(present, fresh, ["batch_num", "record_index"], "user")
+
+
+@query
+def upsert_latest(spark, sf):
+    """Repeated keys on the source side: the newest event of each user takes the place of the customer's row."""
+    present = t.table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("user_id"), F.lit(-1).cast("bigint").alias("event_id"), F.lit("customer").alias("event_type")
+    )
+    events = t.table(spark, sf, "events").select("user_id", "event_id", "event_type")
+    return merges.upsert_replace(present, events, ["user_id"], "event_id")
+
+
+@query
+def insert_first(spark, sf):
+    """Repeated keys on the source side: the first line of each order, unless the order is stored already."""
+    lines = t.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    stored = t.table(spark, sf, "orders").filter("o_orderstatus = 'F'")
+    zero = [F.lit(0).cast(lines.schema[c].dataType).alias(c) for c in ("l_linenumber", "l_partkey", "l_suppkey")]
+    return merges.insert_if_absent(stored.select(F.col("o_orderkey").alias("l_orderkey"), *zero), lines, "l_orderkey", "l_linenumber")
+
+
+@query
+def batch_number_large(spark, sf):
+    """Numbers beyond 32 bits, which keep their value, and beyond 64 bits, which have none."""
+    key = F.col("o_orderkey").cast("decimal(38,0)")
+    name = F.format_string("raw/batch_%s.json", (key * F.lit(4000000007).cast("decimal(38,0)") * F.when(key % 5 == 0, F.lit(1000000000)).otherwise(F.lit(1)).cast("decimal(38,0)")).cast("string"))
+    return t.table(spark, sf, "orders").select("o_orderkey", batch_number(name).alias("batch_num"))
+
+
+@query
+def clean_records_names(spark, sf):
+    """Names recognised in each field by itself: capitalised words of five letters before a blank."""
+    found = lambda text: F.array_distinct(F.regexp_extract_all(text, F.lit("([A-Z][a-z]{4}) "), F.lit(1)))
+    raw = t.raw_records(spark, sf).select("mongo_id", "user", "assistant")
+    return records.clean_records(raw, found)
+
+
+@query
+def dispatch(spark, sf):
+    """Outcomes of a dispatch, each reported twice, on the leads."""
+    waiting = t.leads(spark, sf)
+    sent = waiting.filter("inference_status = 'pending'").select(
+        "_id",
+        F.concat(F.lit("r-"), "_id").alias("request_id"),
+        F.concat(F.lit("out/"), "_id").alias("output_location"),
+        F.when(F.substring("_id", -1, 1) == "3", F.lit("throttled")).alias("error"),
+    )
+    extra = ("sagemaker_output_s3", "sagemaker_request_id", "inference_triggered_at", "inference_error", "inference_error_at")
+    for c in extra:
+        if c not in waiting.columns:
+            waiting = waiting.withColumn(c, F.lit(None).cast("timestamp" if c.endswith("_at") else "string"))
+    out = leads.apply_dispatch(waiting, records.merge_batches(sent, sent), day_stamp())
+    return out.select(
+        "_id", "inference_status", "sagemaker_request_id", "sagemaker_output_s3", "inference_error",
+        stamp(F.col("inference_triggered_at")).alias("triggered_at"), stamp(F.col("inference_error_at")).alias("error_at"),
+    )
+
+
+@query
+def etl_run(spark, sf):
+    """Two runs over the same documents: the second finds nothing pending and ends early."""
+    root = scratch_path(spark, "etl-run")
+    docs = t.raw_docs(spark, sf)
+    runs_ = []
+    for n in ("1", "2"):
+        layout = EtlLayout.folders(f"{root}/{n}", f"{root}/processed", f"{root}/status")
+        runs_.append(run_etl(spark, docs, layout).withColumn("run", F.lit(n)))
+    return records.merge_batches(*runs_)
 
 
 @query
@@ -358,7 +427,7 @@ def etl_stats(spark, sf):
 
 def _transformed(spark, sf, root: str) -> FolderTopics:
     raw, out = FolderTopics(f"{root}/raw"), FolderTopics(f"{root}/transformed")
-    run_extract(t.raw_docs(spark, sf), raw)
+    run_extract(t.raw_docs(spark, sf), raw, where=F.lit(True))
     stream_transform(raw.stream(spark, RAW), out, f"{root}/checkpoints/transform").awaitTermination()
     return out
 
@@ -378,7 +447,7 @@ def stream_load_(spark, sf):
     # The second stream delivers every message again and must add nothing.
     for delivery in ("first", "again"):
         source = out.stream(spark, PROCESSED)
-        stream_load(source, store, f"{root}/checkpoints/{delivery}").awaitTermination()
+        stream_load(source, store, f"{root}/checkpoints/{delivery}", f"{root}/rejects").awaitTermination()
     return spark.read.parquet(store).select(
         "source_id", "etl_status", "metadata.batch_num", "metadata.record_index", encode(F.struct("conversations")).alias("line")
     )

@@ -36,12 +36,24 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(configured)
         return configured.rstrip("/")
     if sc.getCheckpointDir() is None:
-        if not sc.master.startswith("local"):
+        # Executors of local-cluster are processes of their own and may share no folder.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="parley-"))
     return sc.getCheckpointDir().rstrip("/")
 
 
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system and path of ``path``."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at = file_system(spark, path)
+    return fs.exists(at)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """Fresh path below the shared folder for a written intermediate table."""
     return f"{shared_dir(spark)}/parley/{name}-{uuid.uuid4().hex}"
@@ -51,8 +63,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Lost executors then cost no recompute. Unlike a checkpoint the table is
-    computed once, is read by column, and has a size the optimizer can see.
+    computed once, is read by column, and has a size the optimizer can see. It is
+    removed when the application ends.
     """
     path = scratch_path(df.sparkSession, "cut")
     df.write.parquet(path)
+    fs, at = file_system(df.sparkSession, path)
+    fs.deleteOnExit(at)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,17 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from parley.operators.ranks import broadcast_if_small
+from parley.session import cut_lineage, exists
 
 
 def done_batches(spark, path: str, key: str) -> DataFrame | None:
     """Batches already in the sink, or None when nothing was written yet."""
-    try:
-        return spark.read.parquet(path).select(key).distinct()
-    except AnalysisException:
-        return None
+    return spark.read.parquet(path).select(key).distinct() if exists(spark, path) else None
 
 
 def write_batches(df: DataFrame, path: str, key: str = "batch_num") -> None:
@@ -25,7 +22,7 @@ def write_batches(df: DataFrame, path: str, key: str = "batch_num") -> None:
     to be short, so records are written where they were read.
     """
     done = done_batches(df.sparkSession, path, key)
-    todo = df if done is None else df.join(broadcast_if_small(done)[0], key, "left_anti")
+    todo = df if done is None else df.join(broadcast_if_small(cut_lineage(done))[0], key, "left_anti")
     todo.write.mode("append").parquet(path)
 
 

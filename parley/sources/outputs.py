@@ -35,7 +35,9 @@ def outputs_of(objects: DataFrame, key: str = "key", body: str = "body") -> Data
 
 def output_objects(df: DataFrame) -> DataFrame:
     """``key, body`` of a whole-text scan, batch or streaming."""
-    return df.select(F.col("_metadata.file_path").alias("key"), F.col("value").alias("body"))
+    # A file's URI keeps a plus sign, while the keys that events carry write a blank so.
+    uri = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    return df.select(uri.alias("key"), F.col("value").alias("body"))
 
 
 def read_outputs(spark: SparkSession, path: str) -> DataFrame:

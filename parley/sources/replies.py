@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parley.functions.jsontext import is_json, strict_parse
+from parley.functions.jsontext import strict_parse
 from parley.functions.text import SPACE, strip
 
 # ---- fixed values: reply syntax --------------------------------------------
@@ -42,8 +42,13 @@ def line_warnings(lines: DataFrame, *keep: str) -> DataFrame:
     )
 
 
+def rejected_lines(lines: DataFrame, *keep: str) -> DataFrame:
+    """Dropped lines as they came; with the parsed ones they are the input."""
+    return lines.filter(~F.col("ok")).select(*keep, "lineno", "line")
+
+
 def unparsed_replies(replies: DataFrame, raw: str, key: str) -> DataFrame:
-    """Whole replies in which no line parses, kept as they came.
+    """Whole replies in which no line parses, kept as they came; a NULL reply is one of them.
 
     Decided inside each row, so that no reply is shuffled and a reply with very
     many lines meets no grouping.
@@ -51,5 +56,5 @@ def unparsed_replies(replies: DataFrame, raw: str, key: str) -> DataFrame:
     lines = F.transform(
         reply_lines(F.col(raw)), lambda x: F.regexp_replace(strip(x), BOM, "")
     )
-    parses = F.exists(lines, lambda x: (x != "") & is_json(x))
-    return replies.filter(~parses).select(key, F.col(raw).alias("raw"))
+    parses = F.exists(lines, lambda x: (x != "") & strict_parse(x).isNotNull())
+    return replies.filter(~F.coalesce(parses, F.lit(False))).select(key, F.col(raw).alias("raw"))

@@ -17,7 +17,6 @@ from parley.schemas import TOPIC_ROW
 RAW = "raw"
 PROCESSED = "processed"
 DEAD_LETTERS = "dead_letters"
-MAX_PER_TRIGGER = 50
 
 
 @dataclass(frozen=True)
@@ -30,8 +29,10 @@ class KafkaTopics:
     def read(self, spark: SparkSession, topic: str) -> DataFrame:
         return self._rows(self._source(spark.read, topic).load())
 
-    def stream(self, spark: SparkSession, topic: str, max_per_trigger: int = MAX_PER_TRIGGER) -> DataFrame:
-        source = self._source(spark.readStream, topic).option("maxOffsetsPerTrigger", max_per_trigger)
+    def stream(self, spark: SparkSession, topic: str, max_per_trigger: int | None = None) -> DataFrame:
+        """``max_per_trigger`` bounds a micro-batch in messages; without it all that has come is one."""
+        source = self._source(spark.readStream, topic)
+        source = source.option("maxOffsetsPerTrigger", max_per_trigger) if max_per_trigger else source
         return self._rows(source.load())
 
     def write(self, df: DataFrame) -> None:
@@ -74,8 +75,10 @@ class FolderTopics:
     def read(self, spark: SparkSession, topic: str) -> DataFrame:
         return spark.read.schema(TOPIC_ROW).parquet(self.folder).filter(F.col("topic") == topic)
 
-    def stream(self, spark: SparkSession, topic: str, max_per_trigger: int = MAX_PER_TRIGGER) -> DataFrame:
-        source = spark.readStream.schema(TOPIC_ROW).option("maxFilesPerTrigger", max_per_trigger)
+    def stream(self, spark: SparkSession, topic: str, max_per_trigger: int | None = None) -> DataFrame:
+        """``max_per_trigger`` bounds a micro-batch in files; without it all that has come is one."""
+        source = spark.readStream.schema(TOPIC_ROW)
+        source = source.option("maxFilesPerTrigger", max_per_trigger) if max_per_trigger else source
         return source.parquet(self.folder).filter(F.col("topic") == topic)
 
     def write(self, df: DataFrame) -> None:

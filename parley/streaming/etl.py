@@ -10,7 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from parley.functions.jsontext import encode
 from parley.functions.keys import record_key
-from parley.operators.merges import latest_per_key
+from parley.functions.text import Names
+from parley.operators.merges import apply_status_log, first_per_key
 from parley.operators.ranks import BROADCAST_ROWS
 from parley.operators.records import (
     dead_letter_value,
@@ -21,11 +22,32 @@ from parley.operators.records import (
     transform_records,
 )
 from parley.schemas import DEFAULT_SYSTEM_PROMPT, ETL_DONE, ETL_FAILED, ETL_IN_PROGRESS, PROCESSED_DOC
+from parley.session import cut_lineage, exists
+from parley.sources.store import pending
 from parley.sources.topics import DEAD_LETTERS, PROCESSED, RAW
 
 
-def run_extract(docs: DataFrame, topics, status_log: str | None = None, doc_id: str = "doc_id") -> int:
-    """Publishes documents to the raw topic, logs them as in progress, returns their number."""
+def still_pending(docs: DataFrame, status_log: str | None = None, doc_id: str = "doc_id") -> DataFrame:
+    """Documents in state pending after the entries of the status log, if there is one."""
+    if status_log and exists(docs.sparkSession, status_log):
+        log = docs.sparkSession.read.option("recursiveFileLookup", "true").parquet(status_log)
+        log = log.withColumnRenamed("doc_id", "_id")
+        keyed = docs.withColumn("_id", F.col(doc_id).cast("string"))
+        docs = apply_status_log(keyed, log, "_id").drop("_id")
+    return pending(docs)
+
+
+def run_extract(
+    docs: DataFrame, topics, status_log: str | None = None, doc_id: str = "doc_id", log_root: str | None = None, where: Column | None = None
+) -> int:
+    """Publishes documents to the raw topic, logs them as in progress, returns their number.
+
+    By default these are the documents still pending after the status log at
+    ``log_root`` (default ``status_log``); ``where`` chooses others.
+    """
+    chosen = still_pending(docs, log_root or status_log, doc_id) if where is None else docs.filter(where)
+    # Written first: the log that chooses the documents grows while they are published.
+    docs = cut_lineage(chosen)
     published = Observation("extract")
     messages = to_messages(docs, RAW, doc_id).observe(published, F.count(F.lit(1)).alias("n"))
     topics.write(messages)
@@ -41,7 +63,7 @@ def append_status(ids: DataFrame, status: str, path: str, mode: str = "append")
     entry.write.mode(mode).parquet(path)
 
 
-def transform_rows(raw: DataFrame, system: str = DEFAULT_SYSTEM_PROMPT, names: Column | None = None) -> DataFrame:
+def transform_rows(raw: DataFrame, system: str = DEFAULT_SYSTEM_PROMPT, names: Names = None) -> DataFrame:
     """Processed-topic and dead-letter rows of raw-topic rows, in one pass.
 
     Each row carries its topic, so nothing is computed twice for two branches.
@@ -56,9 +78,14 @@ def transform_rows(raw: DataFrame, system: str = DEFAULT_SYSTEM_PROMPT, names: C
 
 
 def stream_transform(
-    raw: DataFrame, out, checkpoint: str, system: str = DEFAULT_SYSTEM_PROMPT, available_now: bool = True
+    raw: DataFrame,
+    out,
+    checkpoint: str,
+    system: str = DEFAULT_SYSTEM_PROMPT,
+    available_now: bool = True,
+    names: Names = None,
 ) -> StreamingQuery:
-    return out.write_stream(transform_rows(raw, system), checkpoint, available_now)
+    return out.write_stream(transform_rows(raw, system, names), checkpoint, available_now)
 
 
 def log_failures(dead_letters: DataFrame, status_log: str) -> None:
@@ -77,20 +104,22 @@ def load_batch(
     batch: DataFrame,
     load_id: str,
     store: str,
+    rejects: str,
     status_log: str | None = None,
     stats: str | None = None,
-    rejects: str | None = None,
 ) -> None:
     """Insert-if-absent of one micro-batch, written under its own ``load_id``.
 
     A replay overwrites just its own partition and does not count that partition
-    as already present, so running a batch twice equals running it once.
+    as already present, so running a batch twice equals running it once. Of several
+    messages with one ``source_id`` the smallest is stored, so a replay stores the same
+    one. Messages that are no JSON objects go to ``rejects`` with a reason.
     """
     spark = batch.sparkSession
     parsed = parse_processed(batch).persist()
     try:
         valid = parsed.filter(F.col("raw_value").isNull()).drop("raw_value")
-        docs = latest_per_key(valid, ["source_id"])
+        docs = first_per_key(valid, ["source_id"])
         ids = valid.select("source_id").distinct()
         held = spark.read.parquet(store).filter(F.col("load_id") != load_id).select("source_id")
         # Look the batch up in the store, not the store in the batch: with a
@@ -103,10 +132,9 @@ def load_batch(
         if status_log:
             done = ids.filter(F.col("source_id") != "").select(F.col("source_id").alias("doc_id"))
             append_status(done, ETL_DONE, f"{status_log}/load_id={load_id}", "overwrite")
-        if rejects:
-            reason = F.lit("not a JSON object").alias("_dlq_reason")
-            bad = parsed.filter(F.col("raw_value").isNotNull()).select("raw_value", reason)
-            bad.write.mode("overwrite").parquet(f"{rejects}/load_id={load_id}")
+        reason = F.lit("not a JSON object").alias("_dlq_reason")
+        bad = parsed.filter(F.col("raw_value").isNotNull()).select("raw_value", reason)
+        bad.write.mode("overwrite").parquet(f"{rejects}/load_id={load_id}")
         if stats:
             inserted = spark.read.schema(PROCESSED_DOC).parquet(f"{store}/load_id={load_id}").agg(F.count(F.lit(1)))
             loaded = valid.agg(F.count(F.lit(1)).alias("loaded"))
@@ -124,9 +152,9 @@ def stream_load(
     processed: DataFrame,
     store: str,
     checkpoint: str,
+    rejects: str,
     status_log: str | None = None,
     stats: str | None = None,
-    rejects: str | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Loads processed-topic rows into the store, once per ``source_id``.
@@ -140,7 +168,7 @@ def stream_load(
     open_store(processed.sparkSession, store)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        load_batch(batch, f"{writer}-{batch_id}", store, status_log, stats, rejects)
+        load_batch(batch, f"{writer}-{batch_id}", store, rejects, status_log, stats)
 
     sink = processed.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     sink = sink.trigger(availableNow=True) if available_now else sink.trigger(processingTime="1 second")

@@ -1,5 +1,6 @@
 """Keyed merges."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from parley.operators import merges
@@ -12,8 +13,16 @@ def rows(df, *order):
 def test_latest_per_key(spark):
     df = spark.createDataFrame([(1, "a", 1), (1, "b", 3), (1, "c", 2), (2, None, 1)], "k int, s string, v int")
     assert rows(merges.latest_per_key(df, ["k"], "v"), "k") == [(1, "b", 3), (2, None, 1)]
-    assert merges.latest_per_key(df, ["k"]).count() == 2
-    assert rows(merges.latest_per_key(df.select("k"), ["k"]), "k") == [(1,), (2,)]
+    assert rows(merges.latest_per_key(df.select("k"), ["k"], "k"), "k") == [(1,), (2,)]
+    assert rows(merges.first_per_key(df, ["k"], "v"), "k") == [(1, "a", 1), (2, None, 1)]
+
+
+@pytest.mark.parametrize("parts", [1, 2, 3, 5])
+def test_choice_does_not_depend_on_partitions(spark, parts):
+    df = spark.createDataFrame([(1, x, 1) for x in "zxyzx"], "k int, s string, v int").repartition(parts)
+    assert rows(merges.latest_per_key(df, ["k"], "v"), "k") == [(1, "z", 1)]
+    assert rows(merges.first_per_key(df, ["k"]), "k") == [(1, "x", 1)]
+    assert rows(merges.insert_if_absent(df.limit(0), df, "k"), "k") == [(1, "x", 1)]
 
 
 def test_upsert_replace(spark):
@@ -81,5 +90,5 @@ def test_hot_key_is_thinned_before_the_shuffle(spark):
     df = spark.range(30000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"), "id")
     out = merges.latest_per_key(df, ["k"], "id")
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("partial_max_by") >= 1
+    assert plan.count("partial_max") >= 1
     assert out.filter("k = 0").first()["id"] == 29997

@@ -15,7 +15,9 @@ def column(spark, values, fn, schema="string"):
 
 def test_batch_number(spark):
     names = ["batch_007.json", "dir/batch_12.json", "batch_x.json", "batch.json", "batch_3_RAW.txt", "batch_99999999999.json", None]
-    assert column(spark, names, keys.batch_number) == [7, 12, 0, 0, 3, 0, 0]
+    assert column(spark, names, keys.batch_number) == [7, 12, 0, 0, 3, 99999999999, 0]
+    huge = ["batch_9223372036854775808.json", "batch_20240101123000.json", "batch_-3.json"]
+    assert column(spark, huge, keys.batch_number) == [None, 20240101123000, -3]
 
 
 def test_result_request_id(spark):

@@ -57,11 +57,11 @@ def test_load_batch_replay_and_redelivery(spark, tmp_path):
     rows = etl.transform_rows(records.to_messages(docs(spark), RAW)).filter(F.col("topic") == PROCESSED).select("key", "value", "topic")
     store, stats = f"{tmp_path}/store", f"{tmp_path}/stats"
     etl.open_store(spark, store)
-    etl.load_batch(rows, "w-0", store, None, stats)
-    etl.load_batch(rows, "w-0", store, None, stats)  # replay of the same batch
+    etl.load_batch(rows, "w-0", store, f"{tmp_path}/rejects", None, stats)
+    etl.load_batch(rows, "w-0", store, f"{tmp_path}/rejects", None, stats)  # replay of the same batch
     assert spark.read.parquet(store).count() == 8
     more = rows.union(rows).union(spark.createDataFrame([("k", "broken", PROCESSED)], rows.schema))
-    etl.load_batch(more, "w-1", store, None, stats, f"{tmp_path}/rejects")  # redelivery, twice over
+    etl.load_batch(more, "w-1", store, f"{tmp_path}/rejects", None, stats)  # redelivery, twice over
     assert spark.read.parquet(store).count() == 8
     got = {r["load_id"]: (r["loaded"], r["inserted"], r["skipped"], r["failed"]) for r in spark.read.parquet(stats).collect()}
     assert got == {"w-0": (8, 8, 0, 0), "w-1": (16, 0, 16, 1)}
