@@ -23,7 +23,7 @@ GIVEN = {
     "Олег Павел Пётр Роман Сергей Юрий",
 }
 # Words that stand before a surname.
-TITLES = "Mr Mrs Ms Dr Prof Herr Frau Mme Mlle Señor Señora Monsieur Madame господин госпожа".split()
+TITLES = "Mr Mrs Ms Dr Prof Herr Frau Mme Mlle Señor Señora Monsieur Madame Господин Госпожа".split()
 # Surnames are made of these syllables, first, middle and last.
 SYLLABLES = {
     "latin": (
@@ -40,22 +40,36 @@ SYLLABLES = {
 NAMES = {n: key for key, names in GIVEN.items() for n in names.split()}
 CAPITAL = r"\p{Lu}[\p{L}\p{M}]+(?:[-'’]\p{Lu}[\p{L}\p{M}]+)*+"
 SECRET_WORD = r"(?i:password|passwd|passphrase|pwd|secret|token|api[_-]?key)"
-# What each kind looks like. Every pattern begins where no longer run of its characters goes on,
-# and possessive quantifiers keep the work linear in the length of a text.
+SECRET_START = rf"{SECRET_WORD}[\"']?[ \t]{{0,3}}[=:][ \t]{{0,3}}[\"']?"
+OCTET = "(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+END = r"(?![\p{L}\p{N}_])"
+# What each kind looks like, its digits being ASCII. Possessive quantifiers keep the
+# work linear in the length of a text.
 PATTERNS = {
-    "secret": rf"{SECRET_WORD}[\"']?\s{{0,3}}[=:]\s{{0,3}}[\"']?(?=[^\s\"',;]{{0,200}}?\d)[^\s\"',;]{{6,}}+",
+    "secret": rf"{SECRET_START}(?=[^\s\"',;]{{0,200}}?[0-9])[^\s\"',;]{{6,}}+",
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++",
-    "key": r"\b(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,}+)\b",
-    "hex": r"\b(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)\b",
-    "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
-    "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "card": r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?!\w|-\d)",
-    "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\w|\.\d)",
-    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?!\w)",
-    "name": rf"\b(?=\p{{Lu}})(?:(?:{'|'.join(sorted(NAMES))})(?= {CAPITAL})|(?<=(?:\b(?:{'|'.join(sorted([*NAMES, *TITLES]))})\.? )){CAPITAL})",
+    "key": rf"(?:(?:AKIA|ASIA)[A-Z0-9]{{16}}|gh[pousr]_[A-Za-z0-9]{{36}}|sk-[A-Za-z0-9]{{20,}}+){END}",
+    "hex": rf"(?:[0-9a-f]{{32,}}+|[0-9A-F]{{32,}}+){END}",
+    "iban": rf"(?=[A-Z]{{2}}[0-9])[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{3,7}}(?: ?[A-Z0-9]{{1,3}})?{END}",
+    "ssn": r"(?<!-)[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{L}\p{N}_-])",
+    "card": r"(?<![.+-])[0-9](?:[ -]?[0-9]){12,18}(?![\p{L}\p{N}_]|-[0-9])",
+    "ip": rf"(?<!\.)(?:{OCTET}\.){{3}}{OCTET}(?![\p{{L}}\p{{N}}_]|\.[0-9])",
+    "phone": rf"(?<!\+)(?:\+[0-9]{{1,3}}[ .-]?)?(?:\([0-9]{{2,4}}\)[ .-]?|[0-9]{{2,4}}[ .-])[0-9]{{3,4}}[ .-]?[0-9]{{3,4}}{END}",
 }
+# A given name before another capitalised word, or a capitalised word after a given name or title. Cheap
+# looks at the neighbouring word come before the lists.
+NAME = (
+    rf"(?=\p{{Lu}}\p{{L}})(?:(?=\p{{L}}{{2,12}}+ \p{{Lu}})(?:{'|'.join(sorted(NAMES))})(?= {CAPITAL})"
+    rf"|(?<=\p{{Lu}}\p{{L}}{{1,11}}\.? )(?<=(?<!\p{{L}})(?:{'|'.join(sorted([*NAMES, *TITLES]))})\.? ){CAPITAL})"
+)
+WORDS = ("secret", "email", "key", "hex", "iban")
+NUMBERS = ("ssn", "card", "ip", "phone")
+# Nothing begins within a run of letters and digits; numbers are tried where one can begin.
+ANY = (
+    rf"(?<![A-Za-z0-9])(?:{'|'.join(PATTERNS[k] for k in WORDS)}"
+    rf"|(?=[0-9(+])(?:{'|'.join(PATTERNS[k] for k in NUMBERS)})|{NAME})"
+)
 KEY_START = "^(AKIA|ASIA|gh[a-z]_|sk-)"
-ANY = "(?U)" + "|".join(PATTERNS.values())
 
 
 def kind_of(mention: Column) -> Column:
@@ -65,8 +79,8 @@ def kind_of(mention: Column) -> Column:
         F.try_element_at(given, mention),
         F.when(mention.rlike(r"[Ѐ-ӿ]"), "surname:cyrillic").otherwise("surname:latin"),
     )
-    for kind, pattern in reversed([(k, p) for k, p in PATTERNS.items() if k != "name"]):
-        out = F.when(mention.rlike(f"(?U)^(?:{pattern})$"), kind).otherwise(out)
+    for kind, pattern in reversed(PATTERNS.items()):
+        out = F.when(mention.rlike(f"^(?:{pattern})$"), kind).otherwise(out)
     return out
 
 
@@ -80,7 +94,7 @@ def value_of(kind: Column, mention: Column) -> Column:
     digits = F.regexp_replace(mention, "[^0-9]", "")
     return (
         F.when(kind == "email", F.lower(mention))
-        .when(kind == "secret", F.regexp_extract(mention, rf"^{SECRET_WORD}[\"']?\s{{0,3}}[=:]\s{{0,3}}[\"']?(.*)$", 1))
+        .when(kind == "secret", F.regexp_extract(mention, f"^{SECRET_START}(.*)$", 1))
         .when(kind.isin("card", "ssn"), digits)
         .when(kind == "phone", F.when((F.length(digits) == 11) & digits.startswith("1"), F.substring(digits, 2, 10)).otherwise(digits))
         .when(kind == "iban", F.replace(mention, F.lit(" "), F.lit("")))
