@@ -15,7 +15,7 @@ from parley.session import scratch_path
 # A chunk of rows handed to Python code at once holds about this many bytes of text.
 CHUNK_BYTES = 2 << 20
 # Entries one worker keeps of what it worked out for a word; further words are worked out anew.
-MEMO_ENTRIES = 1_000_000
+MEMO_ENTRIES = 600_000
 
 
 class Scratch:

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from parley.llm.common import Memo, utf8, with_python_columns
 
 # Labelled documents the model is fitted on, at most; the rest of the labels can test it.
-TRAIN_ROWS = 12_000
+TRAIN_ROWS = 6000
 BUCKETS = 1 << 18
 EPOCHS, RATE, DECAY, MIN_TEXTS = 300, 0.05, 3e-4, 8
 # Features are shares of a text's words, scaled; a few words more are counted, so that short texts say less.
@@ -69,14 +69,18 @@ def fit(vectors: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, top: i
 
     The cuts are a first one and positive steps, so that they stay in order.
     """
-    at = np.concatenate([v[0] for v in vectors])
-    value = np.concatenate([v[1] for v in vectors]).astype(np.float64)
-    row = np.repeat(np.arange(len(vectors)), [len(v[0]) for v in vectors])
     # What few texts hold says more about these texts than about their grade.
-    known = np.bincount(at, minlength=BUCKETS) >= MIN_TEXTS
-    row, value, at = row[known[at]], value[known[at]], at[known[at]]
-    seen, at = np.unique(at, return_inverse=True)
+    held = np.zeros(BUCKETS, np.int64)
+    for buckets, _ in vectors:
+        held[buckets] += 1
+    known = held >= MIN_TEXTS
+    seen = np.flatnonzero(known)
+    place = (np.cumsum(known) - 1).astype(np.int32)
+    kept = [known[buckets] for buckets, _ in vectors]
+    at = np.concatenate([place[b[k]] for (b, _), k in zip(vectors, kept)])
+    value = np.concatenate([v[k] for (_, v), k in zip(vectors, kept)])
     n = len(vectors)
+    row = np.repeat(np.arange(n, dtype=np.int32), [np.count_nonzero(k) for k in kept])
     params = np.zeros(len(seen) + top)
     params[-top] = -1.0
     moment, square = np.zeros_like(params), np.zeros_like(params)
