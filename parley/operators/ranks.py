@@ -72,6 +72,15 @@ def prefix_sum(df: DataFrame, order: str, amount: str, name: str, partitions: in
     )
 
 
+def file_offsets(sizes: DataFrame, file: str, name: str = "_offset") -> DataFrame:
+    """``file, name``: the records before each file in name order, from (file, n_records).
+
+    One row per file is sorted; join it with the files before their records are exploded.
+    """
+    offsets = cut_lineage(prefix_sum(sizes.select(file, F.col("n_records").alias("_size")), file, "_size", name))
+    return broadcast_if_small(offsets)[0]
+
+
 def global_index(
     records: DataFrame, file: str, pos: str, name: str = "global_index", sizes: DataFrame | None = None
 ) -> DataFrame:

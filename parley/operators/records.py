@@ -46,7 +46,12 @@ def with_provenance(
     records: DataFrame, file: str = "file_name", pos: str = "record_index", sizes: DataFrame | None = None
 ) -> DataFrame:
     """Unified documents: global index, batch and position, the original record."""
-    return global_index(records, file, pos, sizes=sizes).select(
+    return indexed_docs(global_index(records, file, pos, sizes=sizes), pos)
+
+
+def indexed_docs(records: DataFrame, pos: str = "record_index") -> DataFrame:
+    """The same from records that have their ``global_index``."""
+    return records.select(
         "global_index",
         "batch_num",
         F.col(pos).alias("record_index"),

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from parley.operators.merges import COUNTS, bulk_upsert, merge_counted
-from parley.operators.records import with_defaults, with_provenance
+from parley.operators.ranks import file_offsets
+from parley.operators.records import indexed_docs, with_defaults
 from parley.session import exists
 from parley.sources.batches import explode_records, scan_files
 
@@ -13,8 +15,10 @@ from parley.sources.batches import explode_records, scan_files
 def unified(spark: SparkSession, raw_dir: str) -> DataFrame:
     """Unified documents of a folder of batch files; unreadable files are skipped."""
     files = scan_files(spark, raw_dir)
-    good = files.filter("state = 'ok'").select("file_name", "n_records")
-    return with_provenance(with_defaults(explode_records(files)), sizes=good)
+    # A file is one row here: it meets its offset before its records are exploded, and no record moves.
+    offsets = file_offsets(files.filter("state = 'ok'").select("file_name", "n_records"), "file_name")
+    records = explode_records(files.join(offsets, "file_name"))
+    return indexed_docs(with_defaults(records).withColumn("global_index", F.col("_offset") + F.col("record_index")))
 
 
 def upload(

@@ -243,6 +243,16 @@ SELECT count(*) AS published, count(*) FILTER (reason IS NULL) AS transformed, c
        count(*) FILTER (reason IS NULL) AS loaded, count(*) FILTER (reason IS NULL) AS inserted, 0::BIGINT AS skipped, '1' AS run
 FROM waiting
 UNION ALL SELECT 0, 0, 0, 0, 0, 0, 0, '2'""",
+    "csv_dataset": "SELECT o_orderkey, o_orderpriority, o_custkey AS customer FROM orders",
+    "chat_jsonl": f"""WITH {RECORDS}
+SELECT to_json({{'conversations': {chat('"user"', 'assistant')}}})::VARCHAR AS line FROM records""",
+    "hashed_lines": "SELECT md5(url) AS line_hash, url AS line FROM pages",
+    "split_sink": f"""WITH {RANKED}
+SELECT split, to_json({{'conversations': {chat('"user"', 'assistant')}}})::VARCHAR AS line FROM splits""",
+    "batch_sink": "SELECT conv_id AS batch_num, turn AS record_index, role FROM conversations",
+    "training_run": f"""WITH {LEADS}
+SELECT 'run_1' AS _id, 'triggered' AS status, count(*) AS record_count, false AS deployed, '{DAY}' AS triggered_at
+FROM leads WHERE etl_status = 'processed' AND training_run_id IS NULL HAVING count(*) >= 1""",
     "result_request_id": """
 -- The key ends in "%20+" (two blanks once decoded), the id and a suffix that is stripped.
 WITH names AS (

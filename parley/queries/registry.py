@@ -17,6 +17,8 @@ from parley.plans.etl import EtlLayout, run_etl
 from parley.plans.prepare import batch_range, format_and_split, generation_worklist
 from parley.queries import tables as t
 from parley.session import scratch_path
+from parley.sinks import files as sinks
+from parley.sources import datasets
 from parley.sources import replies as reply_source
 from parley.sources.outputs import outputs_of, parse_output
 from parley.sources.store import filter_doc, pending
@@ -453,6 +455,55 @@ def stream_load_(spark, sf):
     )
 
 
+# ---- files written and read back ----------------------------------------------
+
+
+@query
+def csv_dataset(spark, sf):
+    """Orders through a CSV folder with a header."""
+    path = scratch_path(spark, "csv")
+    orders = t.table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", F.col("o_custkey").alias("customer"))
+    orders.write.csv(path, header=True)
+    return datasets.read_csv_dataset(spark, path, orders._jdf.schema().toDDL())
+
+
+@query
+def chat_jsonl(spark, sf):
+    """Chat records through a folder of JSON lines."""
+    path = scratch_path(spark, "chat")
+    chats = t.raw_records(spark, sf).select(chat_format(F.col("user"), F.col("assistant")).alias("conversations"))
+    chats.write.json(path)
+    return datasets.read_chat_jsonl(spark, path).select(encode(F.struct("conversations")).alias("line"))
+
+
+@query
+def hashed_lines(spark, sf):
+    """Page addresses through text files, each line named by its digest."""
+    path = scratch_path(spark, "lines")
+    t.table(spark, sf, "pages").select("url").write.text(path)
+    return datasets.hashed_lines(spark, path).select("line_hash", "line")
+
+
+@query
+def split_sink(spark, sf):
+    """The split folders, written and read back."""
+    path = scratch_path(spark, "splits")
+    sinks.write_splits(format_and_split(t.raw_records(spark, sf), "mongo_id"), path)
+    return datasets.read_chat_jsonl(spark, path).select(
+        F.regexp_extract(F.col("_metadata.file_path"), "split=([a-z]+)", 1).alias("split"), encode(F.struct("conversations")).alias("line")
+    )
+
+
+@query
+def batch_sink(spark, sf):
+    """Batches written in two goes, the second with all of them: each is there once."""
+    path = scratch_path(spark, "interim")
+    turns = t.table(spark, sf, "conversations").select(F.col("conv_id").alias("batch_num"), F.col("turn").alias("record_index"), "role")
+    sinks.write_batches(turns.filter("batch_num % 2 = 0"), path)
+    sinks.write_batches(turns, path)
+    return spark.read.parquet(path)
+
+
 # ---- leads and runs ---------------------------------------------------------
 
 
@@ -491,6 +542,12 @@ def trigger_gate(spark, sf):
     return leads.trigger_gate(t.leads(spark, sf))
 
 
+@query
+def training_run(spark, sf):
+    ledger = runs.training_run(leads.trigger_gate(t.leads(spark, sf), threshold=1), F.lit("run_1"), F.lit("exec-1"), day_stamp())
+    return ledger.select("_id", "status", "record_count", "deployed", stamp(F.col("triggered_at")).alias("triggered_at"))
+
+
 @query
 def mark_queued(spark, sf):
     queued = leads.mark_queued(t.leads(spark, sf), F.lit("run_1"), day_stamp())
