@@ -82,7 +82,7 @@ def validate_chat(conversations: Column) -> Column:
     n = F.coalesce(F.size(conversations), F.lit(0))
     user, assistant = _content(conversations, "user"), _content(conversations, "assistant")
     return (
-        F.when(n != 3, F.concat(F.lit(WRONG_LENGTH[0]), F.greatest(n, F.lit(0)).cast("string"), F.lit(WRONG_LENGTH[1])))
+        F.when(n != 3, F.format_string(WRONG_LENGTH, F.greatest(n, F.lit(0))))
         .when(user.isNull(), F.lit(NULL_USER))
         .when(~non_blank(user), F.lit(EMPTY_USER))
         .when(assistant.isNull(), F.lit(NULL_ASSISTANT))

@@ -120,7 +120,8 @@ def batch_audit(labels: DataFrame, rules: BatchRules = BatchRules()) -> DataFram
     """One row per batch: a boolean per rule, true when the rule is kept.
 
     Input: ``batch_num, intent, score, brand_fit, next_action, preferred_locality``.
-    Counts combine before each shuffle and nothing is collected per batch, so a
+    A label without an intent, such as one that could not be read, counts for the
+    size and breaks ``readable_ok``. Counts combine before each shuffle and nothing is collected per batch, so a
     batch may hold any share of the rows.
     """
     drop = F.col("intent") == "drop"
@@ -130,6 +131,7 @@ def batch_audit(labels: DataFrame, rules: BatchRules = BatchRules()) -> DataFram
     counts = {"n": F.count(F.lit(1))}
     counts |= {f"intent_{i}": F.count_if(F.col("intent") == i) for i in rules.intent_mix}
     counts |= {f"tier_{lo}": F.count_if(F.col("score").between(lo, hi)) for lo, hi in rules.score_tiers}
+    counts["unreadable"] = F.count_if(F.col("intent").isNull())
     counts["bad_drops"] = F.count_if(drop & ~F.coalesce(good_drop, F.lit(False)))
 
     # Each row counts for its batch, its brand and its locality, all in one pass.
@@ -159,6 +161,7 @@ def batch_audit(labels: DataFrame, rules: BatchRules = BatchRules()) -> DataFram
         "brand_limit_ok": F.col("brand_uses") <= rules.brand_limit,
         "locality_unique_ok": F.col("locality_uses") <= 1,
         "drops_ok": F.col("bad_drops") == 0,
+        "readable_ok": F.col("unreadable") == 0,
     }
     return totals.select("batch_num", "n", *[c.alias(name) for name, c in checks.items()]).withColumn(
         "passed", _all([F.col(name) for name in checks])

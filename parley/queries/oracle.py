@@ -296,9 +296,12 @@ SELECT batch_num, record_index,
          CASE WHEN st = 'F' THEN 'urgency' END], lambda x: x IS NOT NULL), ',') END AS violations
 FROM label_rows""",
     "batch_audit": f"""WITH {LABELS},
-kept AS (SELECT *, CASE WHEN is_drop THEN 'drop' ELSE 'other' END AS action FROM label_rows WHERE NOT (is_drop AND st = 'P')),
+kept AS (
+  SELECT batch_num, bad, CASE WHEN NOT bad THEN intent END AS intent, CASE WHEN NOT bad THEN score END AS score,
+         CASE WHEN NOT bad THEN brand END AS brand, CASE WHEN NOT bad THEN locality END AS locality, is_drop AND NOT bad AS is_drop
+  FROM (SELECT *, is_drop AND st = 'P' AS bad FROM label_rows)),
 brands AS (SELECT batch_num, max(c) AS m FROM (SELECT batch_num, brand, count(*) AS c FROM kept WHERE brand <> 'N/A' GROUP BY 1, 2) GROUP BY 1),
-cities AS (SELECT batch_num, max(c) AS m FROM (SELECT batch_num, locality, count(*) AS c FROM kept GROUP BY 1, 2) GROUP BY 1),
+cities AS (SELECT batch_num, max(c) AS m FROM (SELECT batch_num, locality, count(*) AS c FROM kept WHERE NOT bad GROUP BY 1, 2) GROUP BY 1),
 checks AS (
   SELECT k.batch_num, count(*) AS n, count(*) = 30 AS size_ok,
          count(*) FILTER (intent = 'buy') = 10 AND count(*) FILTER (intent = 'rent') = 6
@@ -307,10 +310,11 @@ checks AS (
          count(*) FILTER (score BETWEEN 85 AND 100) > 0 AND count(*) FILTER (score BETWEEN 65 AND 84) > 0
          AND count(*) FILTER (score BETWEEN 40 AND 64) > 0 AND count(*) FILTER (score BETWEEN 15 AND 39) > 0
          AND count(*) FILTER (score BETWEEN 5 AND 14) > 0 AND count(*) FILTER (score BETWEEN 0 AND 4) > 0 AS score_tiers_ok,
-         coalesce(any_value(b.m), 0) <= 6 AS brand_limit_ok, any_value(c.m) <= 1 AS locality_unique_ok,
-         count(*) FILTER (is_drop AND NOT (score <= 4 AND brand = 'N/A')) = 0 AS drops_ok
+         coalesce(any_value(b.m), 0) <= 6 AS brand_limit_ok, coalesce(any_value(c.m), 0) <= 1 AS locality_unique_ok,
+         count(*) FILTER (is_drop AND NOT (score <= 4 AND brand = 'N/A')) = 0 AS drops_ok,
+         count(*) FILTER (bad) = 0 AS readable_ok
   FROM kept k LEFT JOIN brands b USING (batch_num) LEFT JOIN cities c USING (batch_num) GROUP BY 1)
-SELECT *, size_ok AND intent_mix_ok AND score_tiers_ok AND brand_limit_ok AND locality_unique_ok AND drops_ok AS passed
+SELECT *, size_ok AND intent_mix_ok AND score_tiers_ok AND brand_limit_ok AND locality_unique_ok AND drops_ok AND readable_ok AS passed
 FROM checks""",
     "clean_summary": f"""WITH {PER_BATCH}
 SELECT count(*) AS batches, sum(n_records)::BIGINT AS total_scrubbed, count(*) FILTER (n_records = 0) AS failed_batches

@@ -170,7 +170,7 @@ def label_audit(spark, sf):
 @query
 def batch_audit(spark, sf):
     labels = t.labelled(spark, sf).select("batch_num", quality.read_label(F.col("assistant")).alias("label"))
-    return quality.batch_audit(labels.filter(F.col("label.intent").isNotNull()).select("batch_num", "label.*"))
+    return quality.batch_audit(labels.select("batch_num", "label.*"))
 
 
 @query

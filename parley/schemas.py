@@ -25,7 +25,7 @@ LEAD_PREFIX = "Lead conversation:\n"
 BATCH_TOKEN = "[1-34]"
 
 # ---- fixed values: reject reasons ------------------------------------------
-WRONG_LENGTH = ("conversations length=", ", expected 3")
+WRONG_LENGTH = "conversations length=%d, expected 3"
 EMPTY_USER = "Empty user content after PII clean"
 EMPTY_ASSISTANT = "Empty assistant content after PII clean"
 NULL_USER = "null user content"
