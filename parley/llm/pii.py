@@ -54,7 +54,8 @@ PATTERNS = {
     "ssn": r"(?<!-)[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{L}\p{N}_-])",
     "card": r"(?<![.+-])[0-9](?:[ -]?[0-9]){12,18}(?![\p{L}\p{N}_]|-[0-9])",
     "ip": rf"(?<!\.)(?:{OCTET}\.){{3}}{OCTET}(?![\p{{L}}\p{{N}}_]|\.[0-9])",
-    "phone": rf"(?<!\+)(?:\+[0-9]{{1,3}}[ .-]?)?(?:\([0-9]{{2,4}}\)[ .-]?|[0-9]{{2,4}}[ .-])[0-9]{{3,4}}[ .-]?[0-9]{{3,4}}{END}",
+    "phone": rf"(?<!\+)(?:(?:\+[0-9]{{1,3}}[ .-]?(?:\([0-9]{{2,4}}\)[ .-]?|[0-9]{{2,4}}[ .-])|\([0-9]{{2,4}}\)[ .-]?)[0-9]{{3,4}}[ .-]?[0-9]{{3,4}}"
+    rf"|[0-9]{{3}}[ .-][0-9]{{3}}[ .-][0-9]{{4}}){END}",
 }
 # A given name before another capitalised word, or a capitalised word after a given name or title. Cheap
 # looks at the neighbouring word come before the lists.

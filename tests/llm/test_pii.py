@@ -17,7 +17,7 @@ TEXTS = [
     "DE89370400440532013000 is DE89 3704 0044 0532 0130 00, 123-45-6789",
     None,
     "",
-    "Nothing here. Anna went. In 2023 it was 3.14 of 1,000 at 10:30.",
+    "Nothing here. Anna went. In 2023 it was 3.14 of 1,000 at 10:30, 10 000 000 of 2023-2024.",
     "a.b@mail8.example.com",
     "42.144.35.254" + " x" * 30000 + " 42.144.35.254",
     "z" * 50000 + "@",
