@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import sys
+import unicodedata
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +25,7 @@ GIVEN = {
     "Олег Павел Пётр Роман Сергей Юрий",
 }
 # Words that stand before a surname.
-TITLES = "Mr Mrs Ms Dr Prof Herr Frau Mme Mlle Señor Señora Monsieur Madame Господин Госпожа".split()
+TITLES = "Mr Mrs Ms Dr Prof Herr Frau Mme Mlle Señor Señora Monsieur Madame Господин Госпожа господин госпожа".split()
 # Surnames are made of these syllables, first, middle and last.
 SYLLABLES = {
     "latin": (
@@ -40,36 +42,40 @@ SYLLABLES = {
 NAMES = {n: key for key, names in GIVEN.items() for n in names.split()}
 CAPITAL = r"\p{Lu}[\p{L}\p{M}]+(?:[-'’]\p{Lu}[\p{L}\p{M}]+)*+"
 SECRET_WORD = r"(?i:password|passwd|passphrase|pwd|secret|token|api[_-]?key)"
-SECRET_START = rf"{SECRET_WORD}[\"']?[ \t]{{0,3}}[=:][ \t]{{0,3}}[\"']?"
-OCTET = "(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+# White space and digits of any script.
+BLANK, DIGIT = r"\p{IsWhite_Space}", r"\p{Nd}"
+SECRET_START = rf"{SECRET_WORD}[\"']?{BLANK}{{0,3}}[=:]{BLANK}{{0,3}}[\"']?"
+OCTET = rf"(?:25[0-5]|2[0-4]{DIGIT}|1?{DIGIT}?{DIGIT}|[{DIGIT}&&[^0-9]]{{3}})"
 END = r"(?![\p{L}\p{N}_])"
-# What each kind looks like, its digits being ASCII. Possessive quantifiers keep the
-# work linear in the length of a text.
+# What each kind looks like. Possessive quantifiers keep the work linear in the length of a text.
 PATTERNS = {
-    "secret": rf"{SECRET_START}(?=[^\s\"',;]{{0,200}}?[0-9])[^\s\"',;]{{6,}}+",
+    "secret": rf"{SECRET_START}(?=[^{BLANK}\"',;]{{0,200}}?{DIGIT})[^{BLANK}\"',;]{{6,}}+",
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++",
     "key": rf"(?:(?:AKIA|ASIA)[A-Z0-9]{{16}}|gh[pousr]_[A-Za-z0-9]{{36}}|sk-[A-Za-z0-9]{{20,}}+){END}",
     "hex": rf"(?:[0-9a-f]{{32,}}+|[0-9A-F]{{32,}}+){END}",
-    "iban": rf"(?=[A-Z]{{2}}[0-9])[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{3,7}}(?: ?[A-Z0-9]{{1,3}})?{END}",
-    "ssn": r"(?<!-)[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{L}\p{N}_-])",
-    "card": r"(?<![.+-])[0-9](?:[ -]?[0-9]){12,18}(?![\p{L}\p{N}_]|-[0-9])",
-    "ip": rf"(?<!\.)(?:{OCTET}\.){{3}}{OCTET}(?![\p{{L}}\p{{N}}_]|\.[0-9])",
-    "phone": rf"(?<!\+)(?:(?:\+[0-9]{{1,3}}[ .-]?(?:\([0-9]{{2,4}}\)[ .-]?|[0-9]{{2,4}}[ .-])|\([0-9]{{2,4}}\)[ .-]?)[0-9]{{3,4}}[ .-]?[0-9]{{3,4}}"
-    rf"|[0-9]{{3}}[ .-][0-9]{{3}}[ .-][0-9]{{4}}){END}",
+    "iban": rf"(?=[A-Z]{{2}}{DIGIT})[A-Z]{{2}}{DIGIT}{{2}}(?: ?[A-Z{DIGIT}]{{4}}){{3,7}}(?: ?[A-Z{DIGIT}]{{1,3}})?{END}",
+    "ssn": rf"(?<!-){DIGIT}{{3}}-{DIGIT}{{2}}-{DIGIT}{{4}}(?![\p{{L}}\p{{N}}_-])",
+    "card": rf"(?<![.+-]){DIGIT}(?:[ -]?{DIGIT}){{12,18}}(?![\p{{L}}\p{{N}}_]|-{DIGIT})",
+    "ip": rf"(?<!\.)(?:{OCTET}\.){{3}}{OCTET}(?![\p{{L}}\p{{N}}_]|\.{DIGIT})",
+    "phone": rf"(?<!\+)(?:(?:\+{DIGIT}{{1,3}}[ .-]?(?:\({DIGIT}{{2,4}}\)[ .-]?|{DIGIT}{{2,4}}[ .-])|\({DIGIT}{{2,4}}\)[ .-]?){DIGIT}{{3,4}}[ .-]?{DIGIT}{{3,4}}"
+    rf"|{DIGIT}{{3}}[ .-]{DIGIT}{{3}}[ .-]{DIGIT}{{4}}){END}",
 }
 # A given name before another capitalised word, or a capitalised word after a given name or title. Cheap
 # looks at the neighbouring word come before the lists.
 NAME = (
-    rf"(?=\p{{Lu}}\p{{L}})(?:(?=\p{{L}}{{2,12}}+ \p{{Lu}})(?:{'|'.join(sorted(NAMES))})(?= {CAPITAL})"
-    rf"|(?<=\p{{Lu}}\p{{L}}{{1,11}}\.? )(?<=(?<!\p{{L}})(?:{'|'.join(sorted([*NAMES, *TITLES]))})\.? ){CAPITAL})"
+    rf"(?=\p{{Lu}}[\p{{L}}\p{{M}}])(?:(?=\p{{L}}{{2,12}}+ \p{{Lu}})(?:{'|'.join(sorted(NAMES))})(?= {CAPITAL})"
+    rf"|(?<=(?:\p{{Lu}}\p{{L}}{{1,11}}|{'|'.join(t for t in TITLES if t.islower())})\.? )(?<=(?<!\p{{L}})(?:{'|'.join(sorted([*NAMES, *TITLES]))})\.? ){CAPITAL})"
 )
-WORDS = ("secret", "email", "key", "hex", "iban")
+WORDS = ("email", "key", "hex", "iban")
 NUMBERS = ("ssn", "card", "ip", "phone")
-# Nothing begins within a run of letters and digits; numbers are tried where one can begin.
+# The word before a secret may end an identifier, as in accessToken. Nothing else begins within a run of
+# letters and digits; numbers are tried where one can begin.
 ANY = (
-    rf"(?<![A-Za-z0-9])(?:{'|'.join(PATTERNS[k] for k in WORDS)}"
-    rf"|(?=[0-9(+])(?:{'|'.join(PATTERNS[k] for k in NUMBERS)})|{NAME})"
+    rf"(?=[APSTapst]){PATTERNS['secret']}"
+    rf"|(?<![A-Za-z{DIGIT}])(?:{'|'.join(PATTERNS[k] for k in WORDS)}"
+    rf"|(?=[{DIGIT}(+])(?:{'|'.join(PATTERNS[k] for k in NUMBERS)})|{NAME})"
 )
+OTHER_DIGITS = "".join(c for c in map(chr, range(128, sys.maxunicode + 1)) if unicodedata.category(c) == "Nd")
 KEY_START = "^(AKIA|ASIA|gh[a-z]_|sk-)"
 
 
@@ -90,15 +96,17 @@ def value_of(kind: Column, mention: Column) -> Column:
 
     E-mail addresses in lower case; card, phone, account and social security
     numbers without blanks and marks, phones without a leading country code 1; secrets
-    without the word before them; names in lower case.
+    without the word before them; names in lower case. Digits of numbers count as the ASCII digits they stand for.
     """
-    digits = F.regexp_replace(mention, "[^0-9]", "")
+    plain = F.translate(mention, OTHER_DIGITS, "".join(str(unicodedata.digit(c)) for c in OTHER_DIGITS))
+    digits = F.regexp_replace(plain, "[^0-9]", "")
     return (
         F.when(kind == "email", F.lower(mention))
-        .when(kind == "secret", F.regexp_extract(mention, f"^{SECRET_START}(.*)$", 1))
+        .when(kind == "secret", F.regexp_extract(mention, f"(?s)^{SECRET_START}(.*)$", 1))
         .when(kind.isin("card", "ssn"), digits)
         .when(kind == "phone", F.when((F.length(digits) == 11) & digits.startswith("1"), F.substring(digits, 2, 10)).otherwise(digits))
-        .when(kind == "iban", F.replace(mention, F.lit(" "), F.lit("")))
+        .when(kind == "iban", F.replace(plain, F.lit(" "), F.lit("")))
+        .when(kind == "ip", plain)
         .when(kind.startswith("given") | kind.startswith("surname"), F.lower(mention))
         .otherwise(mention)
     )
@@ -126,13 +134,13 @@ def pick(letters: str | Column, n: Column) -> Column:
 
 
 def shaped(value: Column, stream: Column, lower: Column) -> Column:
-    """Each digit replaced by a digit, each letter by a letter of its case and script; other characters stay."""
+    """Each digit replaced by an ASCII digit, each letter by a letter of its case and script; other characters stay."""
     cyrillic = "абвгдежзиклмнопрстуфхцчшэюя"
 
     def replaced(c: Column, i: Column) -> Column:
         n = number(stream, i * 2)
         return (
-            F.when(c.rlike("^[0-9]$"), pick("0123456789", n))
+            F.when(c.rlike(r"^\p{Nd}$"), pick("0123456789", n))
             .when(c.rlike("^[a-z]$"), pick(lower, n))
             .when(c.rlike("^[A-Z]$"), F.upper(pick(lower, n)))
             .when(c.rlike(r"^[а-џ]$"), pick(cyrillic, n))
@@ -228,11 +236,11 @@ def written_as(kind: Column, mention: Column, value: Column, surrogate: Column)
     """The surrogate in the mention's own format: with its blanks, marks, country code, word before it or capitals."""
     chars = F.filter(F.split(mention, ""), lambda c: c != "")
     # Letters and digits beyond the value's, such as a country code, stand first and stay.
-    extra = F.length(F.regexp_replace(mention, "[^A-Za-z0-9]", "")) - F.length(value)
+    extra = F.length(F.regexp_replace(mention, rf"[^A-Za-z{DIGIT}]", "")) - F.length(value)
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("n"))
 
     def put(a: Column, c: Column) -> Column:
-        counts = c.rlike("^[A-Za-z0-9]$")
+        counts = c.rlike(rf"^[A-Za-z{DIGIT}]$")
         new = F.when(counts & (a["n"] >= extra), F.substring(surrogate, a["n"] - extra + 1, F.lit(1))).otherwise(c)
         return F.struct(F.concat(a["out"], new).alias("out"), (a["n"] + F.when(counts, 1).otherwise(0)).alias("n"))
 

@@ -78,6 +78,32 @@ def test_kinds_keep_their_make_up(made):
     assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
 
 
+FORMS = {
+    "accessToken=abc12345xyz": "abc12345xyz", "clientSecret: 'q9w8e7r6t5'": "q9w8e7r6t5", "dbpassword=hunter2222": "hunter2222",
+    "the password:\n  tiger4711x": "tiger4711x", "token\u00a0=\u2003lion4711x": "lion4711x", "pwd=пароль٤٢": "пароль٤٢",
+    "secret=abc\u001d123456 end": "123456", "видел господин Сидоров её": "Сидоров", "что госпожа Волкова там": "Волкова", "Господин Зайцев": "Зайцев",
+    "Mr O\u0308ztu\u0308rk said": "ztu", "card ４０４１８９４９７４６０８７９５": "４０４１", "ip ٤٢.١٤٤.٣٥.٢٥٤": "٢٥٤", "tel (٠٢٠) ٧٩٤٦ ٠٩٥٨": "٧٩٤٦",
+    "१२३-४५-६७८९": "६७८९", "DE８９370400440532013000": "3704", "a٢٣@mail.example": "٢٣", "row １２３ stays": "",
+}
+
+
+def test_every_form_of_secrets_titles_and_digits(spark):
+    df = spark.createDataFrame([(t,) for t in FORMS], "text string")
+    rows = replace_pii(df.select(F.col("text").alias("old"), "text"), "k", count="hits").collect()
+    new = {r.old: r for r in rows}
+    for old, private in FORMS.items():
+        assert new[old].hits == bool(private), old
+        assert (private not in new[old].text) if private else new[old].text == old, (old, new[old].text)
+    assert re.fullmatch(r"accessToken=[a-z]{3}\d{5}[a-z]{3}", new["accessToken=abc12345xyz"].text)
+    assert re.fullmatch(r"the password:\n  [a-z]{5}\d{4}[a-z]", new["the password:\n  tiger4711x"].text)
+
+
+def test_numbers_in_other_digits_are_the_same_entity(spark):
+    df = spark.createDataFrame([("4041894974608795 ４０４１-８９４９-７４６０-８７９５",)], "text string")
+    a, b = replace_pii(df, "k").first().text.split()
+    assert re.fullmatch(r"[0-9]{16}", a) and a == b.replace("-", "")
+
+
 def test_key_decides(spark):
     df = spark.createDataFrame([(1, TEXTS[0])], "doc_id long, text string")
     one, two, again = (replace_pii(df, k).first().text for k in ("a", "b", "a"))
