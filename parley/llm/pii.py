@@ -47,6 +47,33 @@ BLANK, DIGIT = r"\p{IsWhite_Space}", r"\p{Nd}"
 SECRET_START = rf"{SECRET_WORD}[\"']?{BLANK}{{0,3}}[=:]{BLANK}{{0,3}}[\"']?"
 OCTET = rf"(?:25[0-5]|2[0-4]{DIGIT}|1?{DIGIT}?{DIGIT}|[{DIGIT}&&[^0-9]]{{3}})"
 END = r"(?![\p{L}\p{N}_])"
+OTHER_DIGITS = "".join(c for c in map(chr, range(128, sys.maxunicode + 1)) if unicodedata.category(c) == "Nd")
+ZERO = "0" + "".join(c for c in OTHER_DIGITS if unicodedata.digit(c) == 0)
+# A further digit of a phone number, which begins neither an IP address nor a time.
+GAP = rf"(?:[.-]| (?!(?:{OCTET}\.){{3}}{OCTET}(?!\.?{DIGIT})|{DIGIT}{{1,2}}:{DIGIT}))?"
+STEP, WIDE = rf"(?:{GAP}{DIGIT})", rf"(?:\)?{GAP}\(?{DIGIT})"
+AREA, FIRST = rf"\({DIGIT}{{2,4}}\)[ .-]?", rf"[{DIGIT}&&[^{ZERO}]]"
+# + or 00 and the first digit of a country code, but no signed fraction.
+ABROAD = rf"(?:\+(?!{DIGIT}\.{DIGIT}{{1,9}}(?![.-]?{DIGIT}))|(?<!{DIGIT}[./:,-])[{ZERO}]{{2}}){FIRST}"
+# A zero and another digit that begin neither a date nor, after other digits, further thousands.
+TRUNK = (
+    rf"(?<!{DIGIT}[./:,-])(?!{DIGIT}{{2}}[./-]{DIGIT}{{1,2}}[./-](?:{DIGIT}{{4}}|{DIGIT}{{2}})(?![./-]?{DIGIT})|{DIGIT}{{2}}[./](?:19|20){DIGIT}{{2}}(?!{DIGIT}))"
+    rf"(?!(?<={DIGIT} ){DIGIT}{{3}}(?: {DIGIT}{{3}})+{END})[{ZERO}]{FIRST}"
+)
+# Where a row of digits is too long for one number, and may be several, the usual groups come before the longest.
+PHONES = (
+    rf"\+1[ .-]?(?:\({DIGIT}{{3}}\)|{DIGIT}{{3}})[ .-]?{DIGIT}{{3}}[ .-]?{DIGIT}{{4}}{END}",
+    rf"{ABROAD}{WIDE}{{7,14}}+(?!{WIDE}){END}",
+    rf"\([{ZERO}]{FIRST}{DIGIT}{{0,4}}\){STEP}{{5,9}}+(?!{STEP}){END}",
+    rf"(?:\+{DIGIT}{{1,3}}[ .-]?(?:{AREA}|{DIGIT}{{2,4}}[ .-])|{AREA}){DIGIT}{{3,4}}[ .-]?{DIGIT}{{3,4}}{END}",
+    rf"{ABROAD}{WIDE}{{7,14}}{END}",
+    rf"\([{ZERO}]{FIRST}{DIGIT}{{0,4}}\){STEP}{{5,9}}{END}",
+    rf"{TRUNK}{STEP}{{7,10}}+(?!{STEP}){END}",
+    rf"{TRUNK}{DIGIT}{{0,2}}[ .-]{DIGIT}{{3,4}}[ .-]?{DIGIT}{{3,4}}{END}",
+    rf"{TRUNK}{DIGIT}{{1,3}}/{DIGIT}{{3}}{STEP}{{2,7}}{END}",
+    rf"{TRUNK}{STEP}{{7,10}}{END}",
+    rf"{DIGIT}{{3}}[ .-]{DIGIT}{{3}}[ .-]{DIGIT}{{4}}{END}",
+)
 # What each kind looks like. Possessive quantifiers keep the work linear in the length of a text.
 PATTERNS = {
     "secret": rf"{SECRET_START}(?=[^{BLANK}\"',;]{{0,200}}?{DIGIT})[^{BLANK}\"',;]{{6,}}+",
@@ -57,8 +84,7 @@ PATTERNS = {
     "ssn": rf"(?<!-){DIGIT}{{3}}-{DIGIT}{{2}}-{DIGIT}{{4}}(?![\p{{L}}\p{{N}}_-])",
     "card": rf"(?<![.+-]){DIGIT}(?:[ -]?{DIGIT}){{12,18}}(?![\p{{L}}\p{{N}}_]|-{DIGIT})",
     "ip": rf"(?<!\.)(?:{OCTET}\.){{3}}{OCTET}(?![\p{{L}}\p{{N}}_]|\.{DIGIT})",
-    "phone": rf"(?<!\+)(?:(?:\+{DIGIT}{{1,3}}[ .-]?(?:\({DIGIT}{{2,4}}\)[ .-]?|{DIGIT}{{2,4}}[ .-])|\({DIGIT}{{2,4}}\)[ .-]?){DIGIT}{{3,4}}[ .-]?{DIGIT}{{3,4}}"
-    rf"|{DIGIT}{{3}}[ .-]{DIGIT}{{3}}[ .-]{DIGIT}{{4}}){END}",
+    "phone": rf"(?<!\+)(?:{'|'.join(PHONES)})",
 }
 # A given name before another capitalised word, or a capitalised word after a given name or title. Cheap
 # looks at the neighbouring word come before the lists.
@@ -75,7 +101,6 @@ ANY = (
     rf"|(?<![A-Za-z{DIGIT}])(?:{'|'.join(PATTERNS[k] for k in WORDS)}"
     rf"|(?=[{DIGIT}(+])(?:{'|'.join(PATTERNS[k] for k in NUMBERS)})|{NAME})"
 )
-OTHER_DIGITS = "".join(c for c in map(chr, range(128, sys.maxunicode + 1)) if unicodedata.category(c) == "Nd")
 KEY_START = "^(AKIA|ASIA|gh[a-z]_|sk-)"
 
 
@@ -95,16 +120,17 @@ def value_of(kind: Column, mention: Column) -> Column:
     """What a mention means, whatever its spelling: mentions of one kind and value are one entity.
 
     E-mail addresses in lower case; card, phone, account and social security
-    numbers without blanks and marks, phones without a leading country code 1; secrets
+    numbers without blanks and marks, phones without a leading 00 and country code 1; secrets
     without the word before them; names in lower case. Digits of numbers count as the ASCII digits they stand for.
     """
     plain = F.translate(mention, OTHER_DIGITS, "".join(str(unicodedata.digit(c)) for c in OTHER_DIGITS))
     digits = F.regexp_replace(plain, "[^0-9]", "")
+    dialled = F.regexp_replace(digits, "^00", "")
     return (
         F.when(kind == "email", F.lower(mention))
         .when(kind == "secret", F.regexp_extract(mention, f"(?s)^{SECRET_START}(.*)$", 1))
         .when(kind.isin("card", "ssn"), digits)
-        .when(kind == "phone", F.when((F.length(digits) == 11) & digits.startswith("1"), F.substring(digits, 2, 10)).otherwise(digits))
+        .when(kind == "phone", F.when((F.length(dialled) == 11) & dialled.startswith("1"), F.substring(dialled, 2, 10)).otherwise(dialled))
         .when(kind == "iban", F.replace(plain, F.lit(" "), F.lit("")))
         .when(kind == "ip", plain)
         .when(kind.startswith("given") | kind.startswith("surname"), F.lower(mention))
@@ -178,7 +204,7 @@ def with_surrogates(entities: DataFrame, key: str) -> DataFrame:
     """``entities`` (kind, value, attempt) with the stand-in of each: same kind, length and make-up.
 
     Mail domains end in the reserved ``.example``; card numbers keep their first
-    digit and pass the Luhn check; account numbers keep their country and have
+    digit and pass the Luhn check; phones keep a leading zero; account numbers keep their country and have
     right check digits; addresses stay addresses; names keep gender and script.
     """
     kind, value, attempt, stream, base, wild = map(F.col, ("kind", "value", "attempt", "stream", "base", "wild"))
@@ -214,6 +240,7 @@ def with_surrogates(entities: DataFrame, key: str) -> DataFrame:
         .when(kind == "card", F.concat("card", luhn_digit(F.col("card"))))
         .when(kind == "iban", iban_of(F.substring(value, 1, 2), F.substring(wild, F.lit(5), size)))
         .when(kind == "ip", F.concat_ws(".", *[o.cast("string") for o in octets]))
+        .when((kind == "phone") & value.startswith("0") & (size >= 8), F.concat(F.lit("0"), pick("23456789", number(stream, 0)), F.substring(wild, F.lit(3), size)))
         .when(kind == "phone", F.concat(pick("23456789", number(stream, 0)), F.substring(wild, F.lit(2), size)))
         .when(kind == "ssn", F.concat(F.lit("9"), F.substring(wild, F.lit(2), size)))
         .when(kind.startswith("given"), first)

@@ -104,6 +104,34 @@ def test_numbers_in_other_digits_are_the_same_entity(spark):
     assert re.fullmatch(r"[0-9]{16}", a) and a == b.replace("-", "")
 
 
+PHONES = [
+    "020 7946 0958", "0171 234 5678", "030 1234-5678", "+14155550123", "+4915112345678", "+33 1 23 45 67 89", "+44 (0)20 7946 0958",
+    "+49 (30) 1234567", "0044 20 7946 0958", "01 23 45 67 89", "01.23.45.67.89", "02079460958", "030/1234567", "(01234) 567890", "(020) 7946 0958",
+    "03-1234-5678", "09 123 456", "415-555-0123", "+1 (386) 555-3733", "(386) 555-3733", "+1.4155550123", "+49 171 2345 6789 01",
+]
+NOT_PHONES = [
+    "10 000 000", "1 050 000 000", "05.11.2023", "01/02/2023 10:30", "2023-01-15 08:30", "01.02.23 05.02.23", "0.12345678", "3.0412345678",
+    "+3.14159265", "08.15-09.30", "0123", "01.2023 02.2023", "100 200 300",
+]
+
+
+def test_forms_of_phones(spark):
+    many = ["+1 386 555 3733 386 555 3733", "+44 20 7946 0958 020 7946 0959", "+33 1 23 45 67 89 10.0.0.1", "+33 1 23 45 67 89 2nd"]
+    lines = [*PHONES, *NOT_PHONES, *many]
+    df = spark.createDataFrame([(f"x {t}, y",) for t in lines], "text string")
+    new = {r.old: r for r in replace_pii(df.select(F.col("text").alias("old"), "text"), "k", count="hits").collect()}
+    for p in PHONES:
+        r = new[f"x {p}, y"]
+        assert r.hits == 1 and re.sub(r"\d", "d", r.text) == re.sub(r"\d", "d", r.old), (r.old, r.text)
+        # A country code of one or 00 may stay, the last digits hardly.
+        assert re.findall(r"\d", r.text)[-7:] != re.findall(r"\d", r.old)[-7:]
+        assert not p.startswith("020") or r.text.startswith("x 0")
+    for p in NOT_PHONES:
+        assert new[f"x {p}, y"].text == f"x {p}, y"
+    assert [new[f"x {t}, y"].hits for t in many] == [2, 2, 2, 1]
+    assert new[f"x {many[3]}, y"].text.endswith(" 2nd, y")
+
+
 def test_key_decides(spark):
     df = spark.createDataFrame([(1, TEXTS[0])], "doc_id long, text string")
     one, two, again = (replace_pii(df, k).first().text for k in ("a", "b", "a"))
