@@ -16,6 +16,8 @@ from parley.llm.common import chunks, to_arrow, utf8, with_python_columns
 # A k-mer has K bytes, its inner substrings S.
 K, S = 56, 8
 WINDOW = K - S + 1
+# Texts of so many bytes hold a syncmer for certain.
+CERTAIN = 2 * K - S - 1
 BLOCK = 1 << 20
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -32,9 +34,11 @@ def anchors(text: bytes) -> np.ndarray:
     """The text's closed syncmers in order, each as 24 hash bits and 8 bits of distance from the one before.
 
     A k-mer is chosen if the smallest hash among its inner substrings is the
-    first's or the last's, which depends on nothing outside the k-mer. One is
-    chosen at least every K - S bytes, so a distance fits into 8 bits. A text
-    shorter than a k-mer is one anchor, an empty text has none.
+    first's or the last's, which depends on nothing outside the k-mer. Of K - S
+    neighbouring k-mers one at least is chosen, so a distance fits into 8 bits.
+    A text of fewer than 2 K - S - 1 bytes may hold no such k-mer; its k-mer of
+    least hash is an anchor, too, which short texts that are near copies mostly
+    share. A text shorter than a k-mer is one anchor, only an empty text has none.
     """
     n = len(text)
     if n == 0:
@@ -43,7 +47,12 @@ def anchors(text: bytes) -> np.ndarray:
         h = int.from_bytes(hashlib.blake2b(text, digest_size=3).digest(), "little")
         return np.array([h << 8], np.uint32)
     found = []
-    for start in range(0, n - K + 1, BLOCK):
+    if n < CERTAIN:
+        raw = np.frombuffer(text, np.uint8)
+        hashes = kmer_hashes(inner_words(raw), np.arange(n - K + 1))
+        at = np.union1d(syncmers(raw)[0], hashes.argmin())
+        found.append((at, (hashes[at] >> np.uint64(40)).astype(np.uint32)))
+    for start in range(0, n - K + 1 if not found else 0, BLOCK):
         raw = np.frombuffer(text, np.uint8, min(BLOCK + K - 1, n - start), start)
         at, hashes = syncmers(raw)
         found.append((at + start, hashes))
@@ -52,11 +61,24 @@ def anchors(text: bytes) -> np.ndarray:
     return hashes << np.uint32(8) | gaps
 
 
-def syncmers(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and 24-bit hashes of the closed syncmers that begin in ``raw``."""
+def inner_words(raw: np.ndarray) -> np.ndarray:
+    """The inner substrings as numbers, by place."""
     two = raw[:-1].astype(np.uint64) | raw[1:].astype(np.uint64) << np.uint64(8)
     four = two[:-2] | two[2:] << np.uint64(16)
-    eight = four[:-4] | four[4:] << np.uint64(32)
+    return four[:-4] | four[4:] << np.uint64(32)
+
+
+def kmer_hashes(eight: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the k-mers that begin ``at`` these places."""
+    whole = np.zeros(len(at), np.uint64)
+    for part in range(0, K, 8):
+        whole = mixed(whole ^ eight[at + part])
+    return whole
+
+
+def syncmers(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and 24-bit hashes of the closed syncmers that begin in ``raw``."""
+    eight = inner_words(raw)
     h = mixed(eight)
     least, width = h, 1
     while width * 2 <= WINDOW:
@@ -65,10 +87,7 @@ def syncmers(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if width < WINDOW:
         least = np.minimum(least[: len(least) - (WINDOW - width)], least[WINDOW - width :])
     at = np.flatnonzero((h[: len(least)] == least) | (h[WINDOW - 1 :] == least))
-    whole = np.zeros(len(at), np.uint64)
-    for part in range(0, K, 8):
-        whole = mixed(whole ^ eight[at + part])
-    return at, (whole >> np.uint64(40)).astype(np.uint32)
+    return at, (kmer_hashes(eight, at) >> np.uint64(40)).astype(np.uint32)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:

@@ -53,6 +53,22 @@ def test_likeness():
     assert likeness(anchors(b"short"), anchors(b"short")) == 1.0 and likeness(anchors(b"short"), anchors(b"other")) == 0.0
 
 
+def test_texts_of_one_to_two_kmers_have_anchors_of_their_own():
+    """Some of these hold no syncmer; they are neither empty nor alike, and near copies still meet."""
+    bodies = [(n, words(40, 1000 + 50 * n + i).encode()) for n in range(K, 2 * K - S + 2) for i in range(6)]
+    texts = [body[:n] for n, body in bodies]
+    bare = [t for t in texts if not len(syncmers(np.frombuffer(t, np.uint8))[0])]
+    assert len(bare) > 50 and max(map(len, bare)) < 2 * K - S - 1
+    made = [anchors(t) for t in texts]
+    assert all(len(a) for a in made) and len({a.tobytes() for a in made}) == len(texts)
+    for t, a, b in zip(texts, made, made[1:]):
+        at, hashes = syncmers(np.frombuffer(t, np.uint8))
+        assert likeness(a, a) == 1.0 and likeness(a, b) == 0.0 and likeness(a, anchors(b"")) == 0.0
+        assert set(hashes.tolist()) <= set((a >> 8).tolist()) and len(a) <= len(at) + 1
+    near = [likeness(anchors(body[:n]), anchors(body[: n + 3])) for n, body in bodies if K + 10 <= n < 2 * K - S - 5]
+    assert sum(x > 0 for x in near) > 0.85 * len(near)
+
+
 def plain(rows):
     """Expected (id, n, edited) in order, each with its next document's text."""
     import hashlib
