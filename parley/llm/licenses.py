@@ -62,7 +62,8 @@ class Notice:
         self.label, self.size = label, len(text)
         self.edits = int(len(text) * share)
         bounds = [len(text) * i // (self.edits + 1) for i in range(self.edits + 2)]
-        self.seeds = [(s, text[s:e].encode()) for s, e in zip(bounds, bounds[1:])]
+        self.parts = [text[s:e] for s, e in zip(bounds, bounds[1:])]
+        self.seeds = [(s, p.encode()) for s, p in zip(bounds, self.parts)]
         self.pattern = regex.compile(f"(?b)(?:{regex.escape(text, special_only=True)}){{e<={self.edits}}}")
 
     def find(self, line: bytes) -> list[tuple[int, int, int]]:
@@ -89,13 +90,26 @@ class Notice:
             while hi < len(line) and line[hi] & 0xC0 == 0x80:
                 hi += 1
             part = line[lo:hi].decode()
-            for m in self.pattern.finditer(part):
+            for m in self.matches(part):
                 begin = lo + len(part[: m.start()].encode())
                 found = m[0].encode()
                 end = begin + len(found.rstrip())
                 out.append((begin + len(found) - len(found.lstrip()), end, sum(m.fuzzy_counts)))
         return out
 
+    def matches(self, part: str) -> list[regex.Match]:
+        """The best match, then those on both sides of it, as weaker ones may stand before it."""
+        todo, out = [(0, len(part))], []
+        while todo:
+            lo, hi = todo.pop()
+            if hi - lo < self.size - self.edits or all(part.find(p, lo, hi) < 0 for p in self.parts):
+                continue
+            m = self.pattern.search(part, lo, hi)
+            if m:
+                out.append(m)
+                todo += [(lo, m.start()), (m.end(), hi)]
+        return sorted(out, key=lambda m: m.start())
+
 
 class Scanner:
     def __init__(self, phrases: dict[str, str], notices: dict[str, str], share: float):

@@ -83,6 +83,19 @@ def test_seeds_lose_no_occurrence():
                 assert min(e for _, _, e in found) <= sum(whole.fuzzy_counts)
 
 
+def test_notices_of_unequal_quality_in_one_window():
+    """A weaker notice before, between and behind closer ones is found, and its label stays."""
+    notice, weak, good = Notice("under the mit license", "mit", 0.1), "under the mot license", "under the mit license"
+    for order in ([weak, good], [good, weak], [weak, good, weak, good], [weak, weak], [weak, "undr the mot license", good]):
+        line = " foo " + " and then ".join(order) + " foo "
+        found = notice.find(line.encode())
+        assert [e for _, _, e in found] == [{weak: 1, good: 0}.get(o, 2) for o in order]
+        assert [line[b:e] for b, e, _ in found] == order
+    text = "under the gnu generel publik licence version 2 and that part is under the gnu general public license version 3"
+    spans = Scanner(PHRASES, NOTICES, 0.1).scan(text.encode())[1]
+    assert [(s[0], s[1], s[3]) for s in spans] == [("gpl-2", 0, 3), ("gpl-3", 12, 0)]
+
+
 def test_empty_table_and_no_notices(spark):
     assert with_licenses(frame(spark, ODD).where("false")).count() == 0
     assert Scanner({}, {}, 0.1).scan(b"cc by nc") == (3, [])
