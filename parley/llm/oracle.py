@@ -1,6 +1,6 @@
 """DuckDB SQL for the queries it can express."""
 
-from parley.llm import urls
+from parley.llm import centroids, ranked_search, urls
 
 
 def _text(value: str) -> str:
@@ -36,6 +36,45 @@ def _best(of: str, host: str, path: str) -> str:
         cases.append(f"when {fits} then '{action if of == 'action' else rule}'")
     return f"case {' '.join(cases)} end"
 
+
+_TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_LOW = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _clusters() -> str:
+    """Every round of the clustering as a table of its own."""
+    squared = "list_sum(list_transform(range(1, {d} + 1), lambda i: (v[i] - c[i]) * (v[i] - c[i])))".format(d=centroids.DIMENSIONS)
+    parts = [
+        f"""e as (select vec_id, list_transform(embedding, lambda x: x::double) e from embeddings
+    where len(embedding) = {centroids.DIMENSIONS}
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0)""",
+        f"""v as materialized (select row_number() over () r, vec_id,
+    list_transform(e, lambda x: floor({centroids.SCALE} * x)::bigint) v from e
+    where len(list_filter(e, lambda x: abs(x) > {centroids.LARGEST // centroids.SCALE})) = 0)""",
+        f"""c0 as materialized (select row_number() over (order by vec_id is null, sha256('{centroids.SEED}:' || vec_id), v) - 1 k, v c
+    from v qualify k < {centroids.CLUSTERS})""",
+    ]
+    for i in range(centroids.ROUNDS + 1):
+        parts.append(
+            f"""a{i} as materialized (select r, arg_min(k, (d, k)) k, min(d) d
+    from (select r, k, {squared} d from v, c{i}) group by r)"""
+        )
+        if i < centroids.ROUNDS:
+            parts.append(
+                f"""s{i} as (select k, j, sum(v[j])::bigint s, count(*) n from a{i} join v using (r), range(1, {centroids.DIMENSIONS} + 1) t(j)
+    group by k, j)"""
+            )
+            parts.append(
+                f"""c{i + 1} as materialized (select k, coalesce(m, c) c from c{i} left join
+    (select k, list((s - ((s % n) + n) % n) // n order by j) m from s{i} group by k) using (k))"""
+            )
+    end = centroids.ROUNDS
+    return f"""with {", ".join(parts)}
+select vec_id, k::int as cluster, d::bigint as distance, sum(d) over (partition by k)::bigint as cluster_inertia,
+    sum(d) over ()::bigint as inertia, sha256(array_to_string(c, ',')) as centroid_sha256
+from a{end} join v using (r) join c{end} using (k)"""
+
+
 ORACLE = {
     "op1_embedding_dedup": """
 with recursive v as (
@@ -97,4 +136,36 @@ select page_id, host, path, {_best("rule", "host", "path")} as rule,
     coalesce({_best("action", "host", "path")}, case when b.c is not null then 'block' else 'allow' end) as verdict
 from parsed left join component k on k.a = address left join blocked b on b.c = k.c
 """,
+    "op11_exact_dedup": f"""
+with t as (select doc_id, {_LOW.format("coalesce(text, '')")} body from documents)
+select doc_id, max(doc_id) over g as keep_id, count(*) over g as group_size,
+    row_number() over (partition by body order by doc_id desc nulls last) = 1 as kept, sha256(body) as text_sha256
+from t window g as (partition by body)
+""",
+    "op12_ranked_search": f"""
+with d as (
+    select row_number() over () r, doc_id, {_LOW.format("text")} t from documents
+), occurrences as (
+    select r, unnest(regexp_extract_all(t, '{_TERM}')) term from d
+), lengths as (select r, count(*) n from occurrences group by r),
+totals as (select count(*) as docs, sum(n)::bigint as total from lengths),
+asked as (
+    select distinct i, item_id, unnest(regexp_extract_all({_LOW.format("text")}, '{_TERM}')) term
+    from (select row_number() over () i, * from benchmark)
+), tf as (
+    select r, term, count(*) tf from occurrences where term in (select term from asked) group by r, term
+), weights as (
+    select term, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)::double))::bigint w
+    from tf, totals group by term, docs
+), parts as (
+    select r, term, (1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // total)) part
+    from tf join lengths using (r), totals
+), scored as (
+    select i, item_id, r, sum(w * part)::bigint score from asked join weights using (term) join parts using (term)
+    group by i, item_id, r
+)
+select item_id, row_number() over (partition by i order by score desc, doc_id nulls last)::int as rank, doc_id, score
+from scored join d using (r) where score > 0 qualify rank <= {ranked_search.TOP}
+""",
+    "op13_centroid_clusters": _clusters(),
 }

@@ -7,10 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parley.llm import bpe, fingerprints, licenses, quality
+from parley.llm.centroids import centroid_clusters
 from parley.llm.common import documents, utf8_length
 from parley.llm.embeddings import embedding_groups
+from parley.llm.exact import exact_groups
 from parley.llm.packing import pack_documents
 from parley.llm.pii import replace_pii
+from parley.llm.ranked_search import ranked_documents
 from parley.llm.simhash import simhash_groups
 from parley.llm.token_counts import with_token_counts
 from parley.llm.urls import judge_urls
@@ -91,4 +94,17 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_groups(documents(spark, sf_dir), columns=["doc_id"])
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_documents(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters(documents(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op")}
