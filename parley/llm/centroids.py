@@ -61,7 +61,9 @@ class VantageTree:
         order = np.argsort(away, kind="stable")
         self.vantage[node], self.members[node] = int(members[chosen]), None
         for half in np.array_split(order, 2):
-            self.children[node].append((self._grow(others[half]), float(away[half].min()), float(away[half].max())))
+            # In order of their numbers, so that the first of equal distances in a leaf is the smallest number.
+            child = self._grow(np.sort(others[half]))
+            self.children[node].append((child, float(away[half].min()), float(away[half].max())))
         return node
 
     def nearest(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
