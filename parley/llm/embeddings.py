@@ -31,8 +31,13 @@ def usable(column) -> object:
 
 
 def principal_axes(vectors: DataFrame) -> dict[int, np.ndarray]:
-    """Orthogonal axes for the commonest length of ``vectors`` (v), by falling spread, from a bounded sample."""
-    rows = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(AXES_SAMPLE).select("v").collect()
+    """Orthogonal axes for the commonest length of ``vectors`` (row, v), by falling spread, from about ``AXES_SAMPLE``.
+
+    The sample is cut by the hash of the row numbers, which are unique, so it is bounded before it leaves the tasks.
+    """
+    total = vectors.count()
+    part = F.pmod(F.xxhash64("row"), F.lit(1 << 30)) < F.lit(int((1 << 30) * min(1.0, AXES_SAMPLE / max(1, total))))
+    rows = vectors.where(part).select("v").collect()
     by_length: dict[int, list] = {}
     for r in rows:
         by_length.setdefault(len(r["v"]), []).append(r["v"])
@@ -87,10 +92,10 @@ def _lengths(x: np.ndarray) -> np.ndarray:
 
 
 def vector_links(vectors: DataFrame, scratch: Scratch, threshold: float) -> DataFrame:
-    """(vec_id, n, to): a vector's links in one pair of tiles, and a member of its group there.
+    """(row, n, to): a vector's links in one pair of tiles, and a member of its group there.
 
-    ``vectors`` has vec_id, label and v, an array of doubles. Links between
-    vectors are counted, never listed.
+    ``vectors`` is a written table of row, label and v, an array of doubles.
+    Links between vectors are counted, never listed.
     """
     spark = vectors.sparkSession
     axes = principal_axes(vectors)
@@ -106,7 +111,7 @@ def vector_links(vectors: DataFrame, scratch: Scratch, threshold: float) -> Data
                 out.append(
                     pd.DataFrame(
                         {
-                            "vec_id": rows["vec_id"],
+                            "row": rows["row"],
                             "label": rows["label"],
                             "size": size,
                             "lead": turned[:, 0],
@@ -119,7 +124,7 @@ def vector_links(vectors: DataFrame, scratch: Scratch, threshold: float) -> Data
 
     label = vectors.schema["label"].dataType.simpleString()
     turned = scratch.write(
-        vectors.mapInPandas(turn, f"vec_id long, label {label}, size int, lead double, cell int, unit binary")
+        vectors.mapInPandas(turn, f"row long, label {label}, size int, lead double, cell int, unit binary")
     )
     group = ["label", "size"]
     cells = turned.groupBy(*group, "cell").agg(F.count("*").alias("n"))
@@ -133,7 +138,7 @@ def vector_links(vectors: DataFrame, scratch: Scratch, threshold: float) -> Data
     )
     placed = scratch.write(
         turned.join(cells, [*group, "cell"]).select(
-            *group, "vec_id", "lead", "unit", (F.col("base") + F.pmod(F.xxhash64("vec_id"), "parts")).cast("int").alias("tile")
+            *group, "row", "lead", "unit", (F.col("base") + F.pmod(F.xxhash64("row"), "parts")).cast("int").alias("tile")
         )
     )
     scratch.drop(turned)
@@ -152,7 +157,7 @@ def vector_links(vectors: DataFrame, scratch: Scratch, threshold: float) -> Data
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         own, second = pdf["own"].to_numpy(), pdf["tile2"].iat[0]
         rows = np.stack([np.frombuffer(x) for x in pdf["unit"]])
-        ids = pdf["vec_id"].to_numpy()
+        ids = pdf["row"].to_numpy()
         labels, links = np.arange(len(ids)), np.zeros(len(ids), np.int64)
         one = np.nonzero(own == pdf["tile"].iat[0])[0]
         two = np.nonzero(own == second)[0]
@@ -165,9 +170,9 @@ def vector_links(vectors: DataFrame, scratch: Scratch, threshold: float) -> Data
             links += np.bincount(a, minlength=len(ids)) + np.bincount(b, minlength=len(ids))
             join_labels(labels, a, b)
         hit = links > 0
-        return pd.DataFrame({"vec_id": ids[hit], "n": links[hit], "to": ids[labels[hit]]})
+        return pd.DataFrame({"row": ids[hit], "n": links[hit], "to": ids[labels[hit]]})
 
-    return members.groupBy(*group, "tile", "tile2").applyInPandas(compare, "vec_id long, n long, to long")
+    return members.groupBy(*group, "tile", "tile2").applyInPandas(compare, "row long, n long, to long")
 
 
 def embedding_groups(
@@ -177,37 +182,41 @@ def embedding_groups(
     label: str = "label",
     threshold: float = THRESHOLD,
 ) -> DataFrame:
-    """(vec_id, n_links, component_id, kept): one row per id.
+    """(vec_id, n_links, component_id, kept): one row per row of ``table``.
 
     Vectors of equal label, not null, and equal length are linked when their
     cosine in double precision reaches ``threshold``. Vectors that are null,
     empty or zero, or hold null or non-finite components, link with nothing
-    and are groups of their own, as is a vector without an id. An id that
-    repeats counts once, with its smallest (label, embedding). An empty table
-    gives an empty result; further columns are not read.
+    and are groups of their own. Every row is a vector of its own, whether its
+    id is null or repeats; ``component_id`` is the smallest id of the group's
+    rows and null only where none has an id. An empty table gives an empty
+    result; further columns are not read.
     """
     scratch = Scratch(table.sparkSession, "embeddings")
-    rows = table.select(
-        F.col(vec_id).cast("long").alias("vec_id"),
-        F.col(label).alias("label"),
-        F.col(embedding).cast("array<double>").alias("v"),
+    rows = scratch.write(
+        table.select(
+            F.monotonically_increasing_id().alias("row"),
+            F.col(vec_id).cast("long").alias("vec_id"),
+            F.col(label).alias("label"),
+            F.col(embedding).cast("array<double>").alias("v"),
+        )
     )
-    ids = rows.select("vec_id").groupBy("vec_id").agg(F.count("*").alias("n"))
-    if ids.where("n > 1").limit(1).count():
-        rows = rows.groupBy("vec_id").agg(F.min(F.struct("label", "v")).alias("s")).select("vec_id", "s.label", "s.v")
-    fit = rows.where(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & usable(F.col("v")))
+    fit = rows.where(F.col("label").isNotNull() & usable(F.col("v"))).drop("vec_id")
     found = scratch.write(vector_links(fit, scratch, threshold))
-    linked = scratch.write(connected_components(found.select(F.col("vec_id").alias("a"), F.col("to").alias("b")), scratch))
-    counts = found.groupBy("vec_id").agg(F.sum("n").alias("n_links"))
-    known = counts.join(linked, counts.vec_id == linked.node).select("vec_id", "n_links", "component")
-    component = F.coalesce("component", "vec_id")
+    linked = scratch.write(connected_components(found.select(F.col("row").alias("a"), F.col("to").alias("b")), scratch))
+    counts = found.groupBy("row").agg(F.sum("n").alias("n_links"))
+    ids = rows.select("row", "vec_id")
+    linked = linked.withColumnRenamed("node", "row")
+    # Groups meet in minima, which combine before they move; rows without links take no part.
+    smallest = linked.join(ids, "row").groupBy("component").agg(F.min("vec_id").alias("least"))
+    groups = linked.join(smallest, "component").select("row", "least", F.lit(True).alias("in_group"))
     return (
-        rows.select("vec_id")
-        .join(known, "vec_id", "left")
+        ids.join(groups, "row", "left")
+        .join(counts, "row", "left")
         .select(
             "vec_id",
             F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-            component.alias("component_id"),
-            F.col("vec_id").eqNullSafe(component).alias("kept"),
+            F.when(F.col("in_group"), F.col("least")).otherwise(F.col("vec_id")).alias("component_id"),
         )
+        .withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
     )

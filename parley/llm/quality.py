@@ -113,12 +113,14 @@ def fit(vectors: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, top: i
 def training_rows(docs: DataFrame, ratings: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     """(doc_id, text, grade) of at most ``rows`` rated documents, chosen by the hash of their ids.
 
-    An id that is rated several times has its lowest grade. The ids joined
-    with the documents are bounded by ``rows``.
+    An id that is rated several times has its lowest grade, and one that
+    several documents bear stands for the text of the smallest MD5 among them.
+    The ids joined with the documents are bounded by ``rows``.
     """
     rated = ratings.where("doc_id is not null and grade is not null").groupBy("doc_id").agg(F.min("grade").alias("grade"))
     chosen = rated.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where("text is not null")
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where("text is not null")
+    return texts.groupBy("doc_id").agg(F.min("grade").alias("grade"), F.min_by("text", F.md5("text")).alias("text"))
 
 
 def fit_documents(docs: DataFrame, ratings: DataFrame, top: int, rows: int = TRAIN_ROWS) -> OrdinalModel | None:
@@ -134,9 +136,9 @@ def fit_documents(docs: DataFrame, ratings: DataFrame, top: int, rows: int = TRA
 
         return run
 
-    # Bounded by the number of rows; sorted, so that the sums of the fit do not depend on the order of tasks.
+    # At most ``rows``, one for each id; sorted, so that the sums of the fit do not depend on the order of tasks.
     found = with_python_columns(sample, utf8(F.col("text")), fields, make).select("doc_id", "grade", "at", "value").collect()
-    found = sorted(found, key=lambda r: (r["doc_id"], r["grade"], bytes(r["at"]), bytes(r["value"])))[: 2 * rows]
+    found = sorted(found, key=lambda r: r["doc_id"])
     if not found:
         return None
     vectors = [(np.frombuffer(r["at"], np.int32), np.frombuffer(r["value"], np.float32)) for r in found]

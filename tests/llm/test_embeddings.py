@@ -7,33 +7,27 @@ from parley.llm.embeddings import embedding_groups, similar, unit_rows
 
 
 def plain(rows, threshold):
-    best = {}
-    for i, label, v in rows:
-        best.setdefault(i, (label, v))
-    ids = list(best)
-    links = {i: set() for i in ids}
-
     def good(v):
         return v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v) and any(v)
 
-    for i in ids:
-        for j in ids:
-            (a, x), (b, y) = best[i], best[j]
-            if i == j or i is None or j is None or a is None or a != b or not good(x) or not good(y) or len(x) != len(y):
+    links = {i: set() for i in range(len(rows))}
+    for i, (_, a, x) in enumerate(rows):
+        for j, (_, b, y) in enumerate(rows):
+            if i == j or a is None or a != b or not good(x) or not good(y) or len(x) != len(y):
                 continue
-            x, y = np.array(x, float), np.array(y, float)
-            x, y = x / np.abs(x).max(), y / np.abs(y).max()
-            if x @ y / np.sqrt(x @ x) / np.sqrt(y @ y) >= threshold:
+            x1, y1 = np.array(x, float), np.array(y, float)
+            x1, y1 = x1 / np.abs(x1).max(), y1 / np.abs(y1).max()
+            if x1 @ y1 / np.sqrt(x1 @ x1) / np.sqrt(y1 @ y1) >= threshold:
                 links[i].add(j)
     out = []
-    for i in ids:
+    for i, (own, _, _) in enumerate(rows):
         seen, todo = {i}, [i]
         while todo:
             for j in links[todo.pop()] - seen:
                 seen.add(j)
                 todo.append(j)
-        least = None if i is None else min(seen)
-        out.append((i, len(links[i]), least, i == least))
+        least = min((rows[j][0] for j in seen if rows[j][0] is not None), default=None)
+        out.append((own, len(links[i]), least, own == least))
     return sorted(out, key=str)
 
 
@@ -63,3 +57,12 @@ def test_early_stop_keeps_all_pairs():
     for t in (0.3, 0.8, 0.95):
         a, b = similar(x, x, t)
         assert set(zip(a, b)) == set(zip(*np.nonzero(x @ x.T >= t)))
+
+
+def test_every_row_of_a_repeated_id_is_compared(spark):
+    rows = [(2, 0, [1.0, 0.0]), (2, None, [5.0, 1.0]), (1, 0, [1.0, 0.0]), (3, 0, [1.0, 0.01]), (2, 0, [0.0, 1.0])]
+    rows += [(None, 0, [0.0, 2.0]), (2, 0, [1.0, 0.0]), (None, 1, [1.0, 1.0]), (None, 1, [1.0, 1.0])]
+    got = embedding_groups(spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>").repartition(4))
+    got = sorted((tuple(r) for r in got.collect()), key=str)
+    assert got == plain(rows, 0.93)
+    assert (1, 3, 1, True) in got and (2, 0, 2, True) in got and (2, 1, 2, True) in got and (None, 1, None, True) in got

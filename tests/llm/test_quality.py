@@ -70,3 +70,58 @@ def test_held_out_accuracy(spark):
     got = {r.grade: r for r in got.collect()}
     assert got[0].kept < 0.12 and got[2].kept > 0.99
     assert got[0].mean < got[1].mean < got[2].mean
+
+
+def test_an_id_of_many_rows_has_one_text_in_the_fit(spark):
+    rows = [(1, f"text {i}") for i in range(500)] + [(2, "b"), (3, "c"), (3, None), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    ratings = spark.createDataFrame([(1, 2), (1, 0), (2, 1), (3, 2), (4, 2), (9, 1)], "doc_id long, grade int")
+    got = {r.doc_id: r for r in quality.training_rows(docs, ratings).collect()}
+    assert got.keys() == {1, 2, 3} and got[1].grade == 0 and got[3].text == "c"
+    import hashlib
+
+    assert got[1].text == min((t for i, t in rows if i == 1), key=lambda t: hashlib.md5(t.encode()).hexdigest())
+
+
+def likelihood(vectors, grades, weights, cuts, decay):
+    total = 0.0
+    for (at, value), g in zip(vectors, grades):
+        score = sum(weights[a] * v for a, v in zip(at.tolist(), value.tolist()))
+        tail = [1.0, *(1 / (1 + np.exp(-(score - c))) for c in cuts), 0.0]
+        total += np.log(tail[g] - tail[g + 1])
+    return total / len(grades) - decay / 2 * (weights**2).sum()
+
+
+def test_fit_reaches_the_top_of_the_likelihood(monkeypatch):
+    """No numeric step in any weight or cut raises the penalised likelihood of the fitted model."""
+    monkeypatch.setattr(quality, "MIN_TEXTS", 1)
+    monkeypatch.setattr(quality, "DECAY", 0.01)
+    monkeypatch.setattr(quality, "EPOCHS", 4000)
+    rng = np.random.default_rng(8)
+    grades = rng.integers(0, 3, 60)
+    vectors = [(np.array([2, 7, 11], np.int32), np.array([g + rng.normal(), rng.normal(), 1.0], np.float32)) for g in grades]
+    model = fit(vectors, grades, 2)
+    best = likelihood(vectors, grades, model.weights, model.cuts, 0.01)
+    for at, step in [(a, s) for a in ("w2", "w7", "w11", "c0", "c1") for s in (-0.05, 0.05)]:
+        weights, cuts = model.weights.copy(), model.cuts.copy()
+        (weights if at[0] == "w" else cuts)[int(at[1:])] += step
+        assert likelihood(vectors, grades, weights, cuts, 0.01) < best + 1e-6
+
+
+def test_query_equals_plain_scores_on_the_table(spark):
+    from conftest import SF
+    from parley.llm.queries import QUERIES, TOP_GRADE
+
+    docs = documents(spark, SF).select("doc_id", "text")
+    model = fit_documents(docs, ratings_of(documents(spark, SF, "labels")), TOP_GRADE)
+    got = {r.doc_id: r for r in QUERIES["op7_quality_grades"](spark, SF).collect()}
+    rows = docs.collect()
+    assert len(got) == len(rows) == docs.count()
+    for r in rows:
+        at, value = vector((r.text or "").encode(), {})
+        score = float(model.weights[at] @ value)
+        tails = [1 / (1 + np.exp(-(score - c))) if len(at) else 0.0 for c in model.cuts]
+        own = got[r.doc_id]
+        assert np.allclose([own.p_at_least_1, own.p_at_least_2], tails, atol=1e-5)
+        assert np.isclose(own.expected_grade, sum(tails), atol=1e-5)
+        assert own.kept == (own.p_at_least_1 >= 0.5)
