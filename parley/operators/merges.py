@@ -7,8 +7,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-INSERTED, UPDATED, SKIPPED = "inserted", "updated", "skipped"
-COUNTS = (INSERTED, UPDATED, SKIPPED, "failed")
+from parley.schemas import ETL_DONE, ETL_FAILED, ETL_IN_PROGRESS, ETL_PENDING
+
+ETL_ORDER = (ETL_PENDING, ETL_IN_PROGRESS, ETL_FAILED, ETL_DONE)
+INSERTED, UPDATED, SKIPPED, FAILED = "inserted", "updated", "skipped", "failed"
+COUNTS = (INSERTED, UPDATED, SKIPPED, FAILED)
 
 
 def latest_per_key(df: DataFrame, keys: list[str], version: str) -> DataFrame:
@@ -55,7 +58,7 @@ def insert_if_absent(target: DataFrame, source: DataFrame, key: str, order: str
 def plan_upsert(
     target: DataFrame,
     source: DataFrame,
-    key: str,
+    key: str | list[str],
     overwrite: bool = False,
     version: str | None = None,
     unique: bool = False,
@@ -66,13 +69,14 @@ def plan_upsert(
     states that the source has one row per key; otherwise it is reduced to the one
     of the highest ``version``, or to the smallest row, which shares its shuffle with the join.
     """
-    columns = [c for c in target.columns if c != key]
-    old = target.select(key, F.struct(*columns).alias("old"), F.lit(True).alias("has_old"))
+    keys = [key] if isinstance(key, str) else key
+    columns = [c for c in target.columns if c not in keys]
+    old = target.select(*keys, F.struct(*columns).alias("old"), F.lit(True).alias("has_old"))
     if unique:
         fresh = source
     else:
-        fresh = first_per_key(source, [key]) if version is None else latest_per_key(source, [key], version)
-    new = fresh.select(key, F.struct(*columns).alias("new"), F.lit(True).alias("has_new"))
+        fresh = first_per_key(source, keys) if version is None else latest_per_key(source, keys, version)
+    new = fresh.select(*keys, F.struct(*columns).alias("new"), F.lit(True).alias("has_new"))
     changed = ~F.col("old").eqNullSafe(F.col("new"))
     action = (
         F.when(F.col("has_new").isNull(), F.lit(None))
@@ -80,7 +84,7 @@ def plan_upsert(
         .when(F.lit(overwrite) & changed, F.lit(UPDATED))
         .otherwise(F.lit(SKIPPED))
     )
-    return old.join(new, key, "full_outer").withColumn("action", action)
+    return old.join(new, keys, "full_outer").withColumn("action", action)
 
 
 def bulk_upsert(
@@ -144,9 +148,11 @@ def set_status(docs: DataFrame, ids: DataFrame, status: str, key: str = "doc_id"
 def apply_status_log(docs: DataFrame, log: DataFrame, key: str = "doc_id", column: str = "etl_status") -> DataFrame:
     """Documents with the status of the newest log entry ``(key, status, at)``.
 
-    Streams append to such a log instead of rewriting the document table.
+    Of entries of one time the one furthest along counts (done, failed, in progress, pending), so that the result
+    does not depend on the order of files. Streams append to such a log instead of rewriting the document table.
     """
-    newest = log.groupBy(key).agg(F.max_by("status", "at").alias("_status"))
+    rank = F.coalesce(F.array_position(F.array(*[F.lit(s) for s in ETL_ORDER]), F.col("status")), F.lit(0))
+    newest = log.groupBy(key).agg(F.max_by("status", F.struct("at", rank.alias("rank"), "status")).alias("_status"))
     return docs.join(newest, key, "left").withColumn(column, F.coalesce("_status", column)).select(*docs.columns)
 
 

@@ -10,6 +10,7 @@ from parley.operators.ranks import file_offsets
 from parley.operators.records import indexed_docs, with_defaults
 from parley.session import exists
 from parley.sources.batches import explode_records, scan_files
+from parley.sources.keyed import KeyedTable
 
 
 def unified(spark: SparkSession, raw_dir: str) -> DataFrame:
@@ -38,3 +39,13 @@ def upload(
     merged.write.mode("errorifexists").parquet(result)
     found = counted.get
     return spark.createDataFrame([tuple(found[c] for c in COUNTS)], ", ".join(f"{c} bigint" for c in COUNTS))
+
+
+def upload_into(
+    spark: SparkSession, raw_dir: str, table: KeyedTable, version: int, overwrite: bool = False, dry_run: bool = False
+) -> dict[str, int]:
+    """Merges the unified documents into a stored table keyed by ``global_index``; returns the counts.
+
+    What is written are the documents that are new or, with ``overwrite``, differ.
+    """
+    return table.upsert(unified(spark, raw_dir), version, overwrite, dry_run)

@@ -472,3 +472,18 @@ WITH daily AS (
 running AS (SELECT d, sum(s) OVER (PARTITION BY date_trunc('month', d) ORDER BY d)::DOUBLE AS spend_to_date FROM daily)
 SELECT date_trunc('month', d)::DATE::VARCHAR AS month, d::VARCHAR AS day, spend_to_date, spend_to_date > 40 AS alert FROM running""",
 }
+
+# The same results by way of stored tables and arriving files.
+ORACLE |= {
+    "stored_upsert": ORACLE["bulk_upsert_overwrite"],
+    "stored_upsert_stats": f"""WITH {UPSERT}
+SELECT 0::INT AS run, count(*) AS inserted, 0::BIGINT AS updated, 0::BIGINT AS skipped, 0::BIGINT AS failed FROM labels
+UNION ALL
+SELECT 1, count(*) FILTER (NOT has_old), count(*) FILTER (has_old AND has_new AND (oq, ot) IS DISTINCT FROM (nq, nt)),
+       count(*) FILTER (has_old AND has_new AND (oq, ot) IS NOT DISTINCT FROM (nq, nt)), 0 FROM sides
+UNION ALL
+SELECT 2, 0, 0, count(*), 0 FROM documents""",
+    "stored_replace": ORACLE["upsert_raw"],
+    "stored_status": ORACLE["status_transition"],
+    "result_arrival": ORACLE["result_ingest"],
+}

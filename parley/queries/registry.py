@@ -20,10 +20,12 @@ from parley.session import scratch_path
 from parley.sinks import files as sinks
 from parley.sources import datasets
 from parley.sources import replies as reply_source
+from parley.sources.keyed import KeyedTable
 from parley.sources.outputs import outputs_of, parse_output
 from parley.sources.store import filter_doc, pending
 from parley.sources.topics import DEAD_LETTERS, PROCESSED, RAW, FolderTopics
 from parley.streaming.etl import run_extract, stream_load, stream_transform, transform_rows
+from parley.streaming.results import lead_table, stream_lead_results
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -242,8 +244,7 @@ def run_meta(spark, sf):
 # ---- merges -----------------------------------------------------------------
 
 
-@query
-def upsert_raw(spark, sf):
+def _replace_sides(spark, sf):
     turns = t.table(spark, sf, "conversations")
     present = turns.select(
         F.col("conv_id").alias("batch_num"),
@@ -253,8 +254,12 @@ def upsert_raw(spark, sf):
         F.col("role").alias("raw_record"),
         F.lit("done").alias("etl_status"),
     )
-    fresh = records.to_raw_docs(t.turn_pairs(spark, sf).withColumn("raw_record", F.lit("pair")))
-    return merges.upsert_replace(present, fresh, ["batch_num", "record_index"], "user")
+    return present, records.to_raw_docs(t.turn_pairs(spark, sf).withColumn("raw_record", F.lit("pair")))
+
+
+@query
+def upsert_raw(spark, sf):
+    return merges.upsert_replace(*_replace_sides(spark, sf), ["batch_num", "record_index"], "user")
 
 
 @query
@@ -358,6 +363,47 @@ def bulk_upsert_keep_stats(spark, sf):
     return merges.bulk_upsert(*_upsert_sides(spark, sf), "doc_id")[1]
 
 
+def _stored_labels(spark, sf) -> tuple[KeyedTable, list[dict]]:
+    """The labels as a stored table, and the documents' marks merged into it twice."""
+    labels, source = _upsert_sides(spark, sf)
+    table = KeyedTable.create(spark, scratch_path(spark, "keyed"), labels.schema, ["doc_id"], buckets=16)
+    counts = [table.upsert(labels, 1), table.upsert(source, 2, overwrite=True), table.upsert(source, 3, overwrite=True)]
+    return table, counts
+
+
+@query
+def stored_upsert(spark, sf):
+    table, _ = _stored_labels(spark, sf)
+    table.compact(spark, most=1)
+    return table.read(spark)
+
+
+@query
+def stored_upsert_stats(spark, sf):
+    _, counts = _stored_labels(spark, sf)
+    rows = [(run, *[c[a] for a in merges.COUNTS]) for run, c in enumerate(counts)]
+    return spark.createDataFrame(rows, "run int, " + ", ".join(f"{a} bigint" for a in merges.COUNTS))
+
+
+@query
+def stored_replace(spark, sf):
+    """Turns as stored rows of two key columns; turn pairs take the place of the turns with their key."""
+    present, fresh = _replace_sides(spark, sf)
+    table = KeyedTable.create(spark, scratch_path(spark, "keyed"), present.schema, ["batch_num", "record_index"], buckets=16)
+    table.replace(present, 1, "user")
+    table.replace(fresh, 2, "user")
+    return table.read(spark)
+
+
+@query
+def stored_status(spark, sf):
+    docs = t.table(spark, sf, "documents").select("doc_id", F.lit("in_progress").alias("etl_status"))
+    table = KeyedTable.create(spark, scratch_path(spark, "keyed"), docs.schema, ["doc_id"], buckets=16)
+    table.write(docs, 1)
+    table.set_values(t.table(spark, sf, "labels"), {"etl_status": F.lit("done")}, 2)
+    return table.read(spark)
+
+
 @query
 def status_transition(spark, sf):
     docs = t.table(spark, sf, "documents").select("doc_id", F.lit("in_progress").alias("etl_status"))
@@ -527,6 +573,24 @@ def result_ingest(spark, sf):
     )
 
 
+@query
+def result_arrival(spark, sf):
+    """Outputs that arrive in two folders' worth of micro-batches, then all of them again, on stored leads."""
+    root = scratch_path(spark, "arrival")
+    leads_now, files = t.leads(spark, sf), t.output_files(spark, sf).select("key", "body")
+    table = lead_table(spark, f"{root}/leads", leads_now, buckets=16)
+    for delivery, part in enumerate((F.length("key") % 2 == 0, F.length("key") % 2 == 1, F.lit(True))):
+        files.where(part).write.mode("append").parquet(f"{root}/outputs")
+        objects = spark.readStream.schema(files.schema).parquet(f"{root}/outputs")
+        # The last delivery comes through a stream of its own, which reads everything.
+        checkpoint = f"{root}/checkpoint-{delivery // 2}"
+        stream_lead_results(objects, table, checkpoint, day_stamp()).awaitTermination()
+    updated = records.merge_batches(leads_now.where("sagemaker_request_id is null"), table.read(spark))
+    return updated.select(
+        "_id", "inference_status", "inference_result", "inference_raw_output", stamp(F.col("inference_completed_at")).alias("completed_at")
+    )
+
+
 @query
 def result_ingest_stats(spark, sf):
     return leads.ingest_results(t.leads(spark, sf), outputs_of(t.output_files(spark, sf)), day_stamp())[1]

@@ -54,6 +54,23 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(at)
 
 
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """A small file of text; one that exists already is an error."""
+    fs, at = file_system(spark, path)
+    stream = fs.create(at, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
+def read_note(spark: SparkSession, path: str) -> str:
+    fs, at = file_system(spark, path)
+    stream = fs.open(at)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """Fresh path below the shared folder for a written intermediate table."""
     return f"{shared_dir(spark)}/parley/{name}-{uuid.uuid4().hex}"

@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from parley.functions.jsontext import encode
 from parley.functions.keys import record_key
 from parley.functions.text import Names
 from parley.operators.merges import apply_status_log, first_per_key
-from parley.operators.ranks import BROADCAST_ROWS
 from parley.operators.records import (
     dead_letter_value,
     parse_messages,
@@ -22,10 +23,14 @@ from parley.operators.records import (
     transform_records,
 )
 from parley.schemas import DEFAULT_SYSTEM_PROMPT, ETL_DONE, ETL_FAILED, ETL_IN_PROGRESS, PROCESSED_DOC
-from parley.session import cut_lineage, exists
+from parley.session import cut_lineage, exists, file_system, read_note, write_note
+from parley.sources.keyed import BUCKETS, bucket_of
 from parley.sources.store import pending
 from parley.sources.topics import DEAD_LETTERS, PROCESSED, RAW
 
+# Holds a store's number of buckets.
+STORE_LAYOUT = "_buckets"
+
 
 def still_pending(docs: DataFrame, status_log: str | None = None, doc_id: str = "doc_id") -> DataFrame:
     """Documents in state pending after the entries of the status log, if there is one."""
@@ -95,9 +100,50 @@ def log_failures(dead_letters: DataFrame, status_log: str) -> None:
     append_status(failed, ETL_FAILED, status_log)
 
 
-def open_store(spark: SparkSession, store: str) -> None:
-    """Gives a new store its schema, by an empty load; does nothing to a store in use."""
-    spark.createDataFrame([], PROCESSED_DOC).write.mode("ignore").parquet(f"{store}/load_id=open")
+def open_store(spark: SparkSession, store: str, buckets: int = BUCKETS) -> None:
+    """Gives a new store its schema and its number of buckets; does nothing to a store in use.
+
+    Choose ``buckets`` so that the ids of one bucket of the full store are a task's worth.
+    """
+    if not exists(spark, f"{store}/{STORE_LAYOUT}"):
+        empty = spark.createDataFrame([], PROCESSED_DOC).withColumn("bucket", F.lit(0))
+        empty.write.mode("ignore").parquet(f"{store}/load_id=open/bucket=0")
+        write_note(spark, f"{store}/{STORE_LAYOUT}", str(buckets))
+
+
+def read_store(spark: SparkSession, store: str) -> DataFrame:
+    """The stored documents, each once even while the store is being compacted."""
+    return first_per_key(_loads(spark, store).drop("load_id", "bucket"), ["source_id"])
+
+
+def _loads(spark: SparkSession, store: str) -> DataFrame:
+    places = T.StructType([T.StructField("load_id", T.StringType()), T.StructField("bucket", T.IntegerType())])
+    return spark.read.schema(T.StructType([*PROCESSED_DOC.fields, *places.fields])).parquet(store)
+
+
+def compact_store(spark: SparkSession, store: str) -> None:
+    """Puts the files of all loads so far together, one or few for each bucket.
+
+    Not to run beside a load. The joined files are written before the old ones
+    go; ``read_store`` and further loads find every document once at any time.
+    """
+    fs, at = file_system(spark, store)
+    old = [s.getPath() for s in fs.listStatus(at) if s.getPath().getName().startswith("load_id=")]
+    docs = first_per_key(_loads(spark, store).drop("load_id"), ["bucket", "source_id"])
+    write_load(docs, store, f"base-{uuid.uuid4().hex}")
+    for path in old:
+        fs.delete(path, True)
+
+
+def write_load(docs: DataFrame, store: str, load_id: str) -> None:
+    # The rows of a bucket meet in one task, so a load adds one file for each of its buckets.
+    docs.repartition("bucket").write.partitionBy("bucket").mode("overwrite").parquet(f"{store}/load_id={load_id}")
+
+
+def present_ids(spark: SparkSession, store: str, buckets: list[int], load_id: str) -> DataFrame:
+    """``source_id`` of the documents other loads have put into these buckets; no other file is read."""
+    held = _loads(spark, store).where(F.col("bucket").isin(buckets) & (F.col("load_id") != load_id))
+    return held.select("source_id")
 
 
 def load_batch(
@@ -113,22 +159,20 @@ def load_batch(
     A replay overwrites just its own partition and does not count that partition
     as already present, so running a batch twice equals running it once. Of several
     messages with one ``source_id`` the smallest is stored, so a replay stores the same
-    one. Messages that are no JSON objects go to ``rejects`` with a reason.
+    one. Messages that are no JSON objects go to ``rejects`` with a reason. Of the
+    store only the ids in the buckets of this batch are read.
     """
     spark = batch.sparkSession
-    parsed = parse_processed(batch).persist()
+    buckets = int(read_note(spark, f"{store}/{STORE_LAYOUT}"))
+    parsed = parse_processed(batch).withColumn("bucket", bucket_of(["source_id"], buckets)).persist()
     try:
         valid = parsed.filter(F.col("raw_value").isNull()).drop("raw_value")
-        docs = first_per_key(valid, ["source_id"])
         ids = valid.select("source_id").distinct()
-        held = spark.read.parquet(store).filter(F.col("load_id") != load_id).select("source_id")
-        # Look the batch up in the store, not the store in the batch: with a
-        # batch counted to be small the store is scanned in place, not shuffled.
-        n = parsed.count()
-        wanted = F.broadcast(ids) if n <= BROADCAST_ROWS else ids
-        present = held.join(wanted, "source_id", "left_semi").distinct()
-        fresh = docs.join(present, "source_id", "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{store}/load_id={load_id}")
+        # At most as many values as the store has buckets.
+        n, touched = parsed.agg(F.count(F.lit(1)), F.collect_set(F.when(F.col("raw_value").isNull(), F.col("bucket")))).first()
+        present = present_ids(spark, store, sorted(touched), load_id)
+        fresh = first_per_key(valid.join(present, "source_id", "left_anti"), ["bucket", "source_id"])
+        write_load(fresh, store, load_id)
         if status_log:
             done = ids.filter(F.col("source_id") != "").select(F.col("source_id").alias("doc_id"))
             append_status(done, ETL_DONE, f"{status_log}/load_id={load_id}", "overwrite")
@@ -159,9 +203,9 @@ def stream_load(
 ) -> StreamingQuery:
     """Loads processed-topic rows into the store, once per ``source_id``.
 
-    Every micro-batch reads the store's id column, so give it as many messages
-    per trigger as the executors can take. Messages that are no JSON objects go
-    to ``rejects``.
+    A micro-batch reads the ids in its own buckets of the store, so one of few
+    messages reads little of a store with many buckets. Messages that are no
+    JSON objects go to ``rejects``.
     """
     # Batch numbers start at 0 in each checkpoint; its digest keeps them apart.
     writer = hashlib.md5(checkpoint.encode()).hexdigest()[:8]
