@@ -50,15 +50,17 @@ def _before(sizes: DataFrame, amount: str) -> DataFrame:
     return sizes.select("_part", F.coalesce(F.sum(amount).over(w), F.lit(0)).alias("_before"))
 
 
-def global_rank(df: DataFrame, *order: str, name: str = "rank", partitions: int | None = None) -> DataFrame:
+def global_rank(
+    df: DataFrame, *order: str, name: str = "rank", partitions: int | None = None, carry: tuple[str, ...] = ()
+) -> DataFrame:
     """Order columns plus a dense rank position from 0. The order must be unique.
 
-    Only the order columns are shuffled: join them back where the rows are needed.
+    Only the order columns, and narrow ones named in ``carry``, are shuffled: join them back where the rows are needed.
     """
-    placed = _range_positions(df.select(*order), *order, partitions=partitions)
+    placed = _range_positions(df.select(*order, *carry), *order, partitions=partitions)
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     return placed.join(F.broadcast(_before(sizes, "_n")), "_part").select(
-        *order, (F.col("_before") + F.col("_pos")).alias(name)
+        *order, *carry, (F.col("_before") + F.col("_pos")).alias(name)
     )
 
 

@@ -487,3 +487,23 @@ SELECT 2, 0, 0, count(*), 0 FROM documents""",
     "stored_status": ORACLE["status_transition"],
     "result_arrival": ORACLE["result_ingest"],
 }
+
+_WRAPPED = r"regexp_replace({}, '([\p{{L}}\p{{N}}_]+)', chr(1) || '\1' || chr(2), 'g')"
+_RUN = r"[\p{L}\p{N}_]+"
+# Words are set in marks, so that a pattern of names in marks can only meet whole words.
+ORACLE["mask_listed_names"] = ORACLE["mask_joined_names"] = f"""
+WITH doc_words AS (SELECT doc_id, regexp_extract_all(text, '{_RUN}') AS w FROM documents),
+item_words AS (SELECT regexp_extract_all(text, '{_RUN}') AS w FROM benchmark),
+names AS (
+  SELECT DISTINCT name FROM (
+    SELECT unnest(regexp_extract_all(text, '[A-Z][a-z]+')) AS name FROM documents
+    UNION ALL SELECT w[i] || ' ' || w[i + 1] FROM item_words, range(1, len(w)) t(i))),
+runs AS (
+  SELECT doc_id, unnest(w) AS run FROM doc_words
+  UNION SELECT doc_id, w[i] || ' ' || w[i + 1] FROM doc_words, range(1, len(w)) t(i)),
+found AS (
+  SELECT doc_id, string_agg({_WRAPPED.format("run")}, '|' ORDER BY length(run) DESC, run) AS pattern
+  FROM runs WHERE run IN (SELECT name FROM names) GROUP BY doc_id)
+SELECT doc_id, CASE WHEN pattern IS NULL THEN text
+  ELSE translate(regexp_replace({_WRAPPED.format("text")}, pattern, '[NAME]', 'g'), chr(1) || chr(2), '') END AS text
+FROM documents LEFT JOIN found USING (doc_id)"""

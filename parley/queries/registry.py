@@ -12,7 +12,7 @@ from parley.functions.chat import CHATML, LLAMA3, chat_format, generated_text, r
 from parley.functions.jsontext import encode
 from parley.functions.keys import batch_number, is_output_key, result_request_id
 from parley.functions.tokens import supervised_tokens
-from parley.operators import arrays, leads, merges, monitoring, quality, ranks, records, runs
+from parley.operators import arrays, leads, merges, monitoring, names, quality, ranks, records, runs
 from parley.plans.etl import EtlLayout, run_etl
 from parley.plans.prepare import batch_range, format_and_split, generation_worklist
 from parley.queries import tables as t
@@ -24,7 +24,7 @@ from parley.sources.keyed import KeyedTable
 from parley.sources.outputs import outputs_of, parse_output
 from parley.sources.store import filter_doc, pending
 from parley.sources.topics import DEAD_LETTERS, PROCESSED, RAW, FolderTopics
-from parley.streaming.etl import run_extract, stream_load, stream_transform, transform_rows
+from parley.streaming.etl import open_store, run_extract, stream_load, stream_transform, transform_rows
 from parley.streaming.results import lead_table, stream_lead_results
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,9 +59,29 @@ def mask_pii(spark, sf):
 
 @query
 def mask_names(spark, sf):
-    names = F.array_distinct(F.regexp_extract_all("text", F.lit("([A-Z][a-z]{2,})"), F.lit(1)))
+    found = F.array_distinct(F.regexp_extract_all("text", F.lit("([A-Z][a-z]{2,})"), F.lit(1)))
     turns = t.table(spark, sf, "conversations")
-    return turns.select("conv_id", "turn", T.mask_names(F.col("text"), names).alias("masked"))
+    return turns.select("conv_id", "turn", T.mask_names(F.col("text"), found).alias("masked"))
+
+
+def _listed(spark, sf, **how):
+    """Every capitalised word of the documents and every pair of words of the benchmark is a name."""
+    single = F.explode(F.regexp_extract_all("text", F.lit("[A-Z][a-z]+"), F.lit(0)))
+    documents, items = t.table(spark, sf, "documents"), t.table(spark, sf, "benchmark")
+    pairs = F.filter(names.word_runs(F.col("text"), 2), lambda run: F.contains(run, F.lit(" ")))
+    listed = records.merge_batches(documents.select(single.alias("name")), items.select(F.explode(pairs).alias("name")))
+    return names.mask_listed(documents.select("doc_id", "text"), ["text"], listed, "doc_id", **how)
+
+
+@query
+def mask_listed_names(spark, sf):
+    return _listed(spark, sf)
+
+
+@query
+def mask_joined_names(spark, sf):
+    """The same with the list in a join, as for one too long for an expression."""
+    return _listed(spark, sf, inline=0)
 
 
 @query
@@ -492,6 +512,7 @@ def stream_load_(spark, sf):
     root = scratch_path(spark, "stream-load")
     out = _transformed(spark, sf, root)
     store = f"{root}/processed"
+    open_store(spark, store, buckets=8)
     # The second stream delivers every message again and must add nothing.
     for delivery in ("first", "again"):
         source = out.stream(spark, PROCESSED)
@@ -647,8 +668,7 @@ def prompt_mask(spark, sf):
 @query
 def collate_pad(spark, sf):
     samples = arrays.token_samples(t.token_rows(spark, sf))
-    ranked = samples.join(ranks.global_rank(t.table(spark, sf, "documents").select("doc_id"), "doc_id"), "doc_id")
-    padded = arrays.collate_pad(ranked)
+    padded = arrays.collate_in_order(samples.select("doc_id", "input_ids", "labels"), "doc_id")
     return padded.select(
         "doc_id",
         "batch_id",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from parley.operators.leads import ingest_results
-from parley.operators.monitoring import metric_windows
+from parley.operators.monitoring import metric_sketches, sketched_windows
 from parley.session import exists, read_note, write_note
 from parley.sources.keyed import BUCKETS, KeyedTable, buckets_in
 from parley.sources.outputs import output_objects, outputs_of
@@ -89,7 +89,17 @@ def arriving_objects(spark: SparkSession, path: str, max_files: int = 1000) -> D
     return output_objects(files.text(path))
 
 
-def stream_metric_windows(events: DataFrame, ts: str, value: str, width: str, late: str, stats=("sum", "avg")) -> DataFrame:
-    """Monitoring series over a stream; a window is final once it is ``late`` old."""
+def stream_metric_windows(
+    events: DataFrame, ts: str, value: str, width: str, late: str, stats=("sum", "avg"), by: tuple[str, ...] = ()
+) -> DataFrame:
+    """Monitoring series over a stream; a window is final once it is ``late`` old.
+
+    Percentiles come from quantile sketches, the state of a window being of fixed size; a batch gives exact ones.
+    """
+    return sketched_windows(stream_metric_sketches(events, ts, value, width, late, by), stats, by)
+
+
+def stream_metric_sketches(events: DataFrame, ts: str, value: str, width: str, late: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Sketched windows over a stream, to be stored and put together to wider ones by ``merge_sketches``."""
     timed = events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)
-    return metric_windows(timed, ts, value, width, stats)
+    return metric_sketches(timed, ts, value, width, by)
