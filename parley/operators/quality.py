@@ -30,13 +30,12 @@ NOT_THREE = "not a list of 3 items"
 WRONG_ROLES = "roles mismatch"
 
 
-def line_reason(line: Column) -> Column:
-    """First failed check of a chat JSONL line, NULL when it is good.
+def line_reason(v: Column) -> Column:
+    """First failed check of a parsed chat JSONL line, NULL when it is good.
 
     A line that is JSON but no object, or a list item that is no object, is
     reported like any other malformed line.
     """
-    v = strict_parse(line)
     convs = F.try_variant_get(v, "$.conversations", "variant")
     items = F.try_variant_get(convs, "$", "array<variant>")
     roles = F.transform(items, lambda m: F.try_variant_get(m, "$.role", "string"))
@@ -50,7 +49,9 @@ def line_reason(line: Column) -> Column:
 
 
 def verify_jsonl(lines: DataFrame, line: str = "line") -> DataFrame:
-    return lines.withColumn("reason", line_reason(F.col(line)))
+    # Parsed into a column first, as the reason looks at the value several times.
+    parsed = lines.withColumn("_v", strict_parse(F.col(line)))
+    return parsed.withColumn("reason", line_reason(F.col("_v"))).drop("_v")
 
 
 def verify_summary(verified: DataFrame) -> DataFrame:
@@ -109,6 +110,8 @@ def _all(terms: list[Column]) -> Column:
 
 @dataclass(frozen=True)
 class BatchRules:
+    """What a batch has to keep; score tiers do not overlap."""
+
     size: int = BATCH_SIZE
     intent_mix: dict[str, int] = field(default_factory=lambda: dict(INTENT_MIX))
     score_tiers: tuple[tuple[int, int], ...] = SCORE_TIERS
@@ -124,35 +127,50 @@ def batch_audit(labels: DataFrame, rules: BatchRules = BatchRules()) -> DataFram
     size and breaks ``readable_ok``. Counts combine before each shuffle and nothing is collected per batch, so a
     batch may hold any share of the rows.
     """
-    drop = F.col("intent") == "drop"
     good_drop = (
         (F.col("score") <= rules.drop_max_score) & (F.col("next_action") == "drop") & (F.col("brand_fit") == NO_BRAND)
     )
-    counts = {"n": F.count(F.lit(1))}
-    counts |= {f"intent_{i}": F.count_if(F.col("intent") == i) for i in rules.intent_mix}
-    counts |= {f"tier_{lo}": F.count_if(F.col("score").between(lo, hi)) for lo, hi in rules.score_tiers}
-    counts["unreadable"] = F.count_if(F.col("intent").isNull())
-    counts["bad_drops"] = F.count_if(drop & ~F.coalesce(good_drop, F.lit(False)))
-
-    # Each row counts for its batch, its brand and its locality, all in one pass.
+    bad_drop = (F.col("intent") == "drop") & ~F.coalesce(good_drop, F.lit(False))
+    tier = F.coalesce(*[F.when(F.col("score").between(lo, hi), F.lit(lo)) for lo, hi in rules.score_tiers])
+    unreadable = F.col("intent").isNull()
     brand = F.when(F.col("brand_fit") != NO_BRAND, F.col("brand_fit"))
-    roles = {"batch": F.lit(""), "brand": brand, "locality": F.col("preferred_locality")}
-    role = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), v.alias("value")) for k, v in roles.items()]))
-
-    def most(kind: str, count: str) -> Column:
-        return F.coalesce(F.max(F.when(F.col("kind") == kind, F.col(count))), F.lit(0))
-
-    totals = (
-        labels.withColumn("role", role)
-        .filter(F.col("role.value").isNotNull())
-        .groupBy("batch_num", "role.kind", "role.value")
-        .agg(*[c.alias(name) for name, c in counts.items()])
-        .groupBy("batch_num")
-        .agg(
-            *[most("batch", name).alias(name) for name in counts],
-            most("brand", "n").alias("brand_uses"),
-            most("locality", "n").alias("locality_uses"),
+
+    # Each row counts once for what the rules tell apart in a batch (a small number of kinds), once for its brand and
+    # once for its locality. Only (batch, kind, value, n) moves; the rules' counters are made of the counts afterwards.
+    def role(kind: str, value: Column | None = None, **facts: Column) -> Column:
+        none = F.lit(None)
+        return F.struct(
+            F.lit(kind).alias("kind"),
+            (none if value is None else value).cast("string").alias("value"),
+            facts.get("intent", none).cast("string").alias("intent"),
+            facts.get("tier", none).cast("int").alias("tier"),
+            facts.get("bad", none).cast("boolean").alias("bad"),
         )
+
+    known = F.when(F.col("intent").isin(*rules.intent_mix), F.col("intent")).when(~unreadable, F.lit(""))
+    roles = [role("batch", intent=known, tier=tier, bad=bad_drop), role("brand", brand), role("locality", F.col("preferred_locality"))]
+    counted = (
+        labels.withColumn("r", F.explode(F.array(*roles)))
+        .filter((F.col("r.kind") == "batch") | F.col("r.value").isNotNull())
+        .groupBy("batch_num", "r.kind", "r.value", "r.intent", "r.tier", "r.bad")
+        .agg(F.count(F.lit(1)).alias("k"))
+    )
+    whole = F.col("kind") == "batch"
+
+    def total(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(whole & condition, F.col("k"))), F.lit(0))
+
+    def most(kind: str) -> Column:
+        return F.coalesce(F.max(F.when(F.col("kind") == kind, F.col("k"))), F.lit(0))
+
+    totals = counted.groupBy("batch_num").agg(
+        total(F.lit(True)).alias("n"),
+        *[total(F.col("intent") == i).alias(f"intent_{i}") for i in rules.intent_mix],
+        *[total(F.col("tier") == lo).alias(f"tier_{lo}") for lo, _ in rules.score_tiers],
+        total(F.col("intent").isNull()).alias("unreadable"),
+        total(F.col("bad")).alias("bad_drops"),
+        most("brand").alias("brand_uses"),
+        most("locality").alias("locality_uses"),
     )
     checks = {
         "size_ok": F.col("n") == rules.size,

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from parley.functions.keys import shuffle_key
 from parley.session import cut_lineage
 
-# A table of this many narrow rows is some tens of MB and may be broadcast.
-BROADCAST_ROWS = 500_000
+# A table of at most this many rows and stored bytes may be broadcast; compressed files grow a few times in memory.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 16 << 20
 # Parts a hot file is split into when its offset cannot be broadcast.
 SALTS = 32
 # Four hex digits of a digest: 65,536 even buckets whatever the data.
@@ -19,12 +19,13 @@ BUCKET_DIGITS = 4
 AFTER_ALL_DIGESTS = "g"
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """The table with a broadcast hint when it was counted to be small, and whether it was.
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """The table with a broadcast hint when it was counted and measured to be small, and whether it was.
 
-    Pass a materialised table: the count runs at once.
+    Pass a written table: the count runs at once, and its size is that of its files, as rows may hold long ids or names.
     """
-    small = df.count() <= max_rows
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    small = size <= max_bytes and df.count() <= max_rows
     return (F.broadcast(df) if small else df), small
 
 

@@ -11,9 +11,13 @@ from parley.operators.merges import skip_done
 from parley.operators.ranks import split_assign
 from parley.operators.records import clean_records, other_fields, with_defaults
 from parley.schemas import BATCH_TOKEN, DEFAULT_SYSTEM_PROMPT
+from parley.session import cut_lineage
 from parley.sinks.files import write_batches, write_splits
-from parley.sources.batches import explode_records, scan_files
+from parley.sources.batches import bad_records, explode_records, scan_files
 
+TOO_LARGE = "too_large"
+# Bytes of a record that any version of the JSON value type holds.
+SURELY_READABLE = 1 << 20
 KEY = ("file_name", "record_index")
 
 
@@ -22,14 +26,27 @@ def clean(spark: SparkSession, raw_dir: str, interim: str, names: Names = None)
 
     Batches already there are skipped. A file without records counts as failed.
     What else a record holds goes along as JSON text in ``extra``, unmasked as in its file.
+    Records that are too large to be read go whole to ``rejected(interim)`` with a reason;
+    with them the interim table holds every record of the good files.
     """
     files = scan_files(spark, raw_dir)
+    longest = F.coalesce(F.array_max(F.transform("elements", lambda e: F.octet_length(e))), F.lit(0))
+    sizes = F.when(F.col("state") == "ok", F.col("n_records")).otherwise(0).alias("n_records")
+    sizes = cut_lineage(files.select("file_name", sizes, longest.alias("longest")))
+    # Only files with a very long record are looked at again.
+    if sizes.where(F.col("longest") > SURELY_READABLE).take(1):
+        long = files.where(longest > SURELY_READABLE)
+        write_batches(bad_records(long).withColumn("reason", F.lit(TOO_LARGE)), rejected(interim), "file_name")
     records = with_defaults(explode_records(files))
     records = records.withColumn("extra", other_fields())
     masked = clean_records(records, names).select("file_name", "batch_num", "record_index", "user", "assistant", "extra")
     write_batches(masked, interim, "file_name")
-    sizes = files.select("file_name", F.when(F.col("state") == "ok", F.col("n_records")).otherwise(0).alias("n_records"))
-    return sizes.withColumnRenamed("file_name", "batch_num")
+    return sizes.select(F.col("file_name").alias("batch_num"), "n_records")
+
+
+def rejected(interim: str) -> str:
+    """Where ``clean`` keeps the records it could not read; there is no table as long as there are none."""
+    return f"{interim.rstrip('/')}-rejected"
 
 
 def format_and_split(records: DataFrame, *key: str, system: str = DEFAULT_SYSTEM_PROMPT, seed: int = 42) -> DataFrame:

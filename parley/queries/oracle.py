@@ -468,7 +468,7 @@ SELECT event_type, strftime(w, {STAMP}) AS window_start, s AS sum,
 FROM filled""",
     "budget_alert": """
 WITH daily AS (
-  SELECT ts::DATE AS d, sum(value::DECIMAL(10,2) * 0.001::DECIMAL(4,3)) AS s FROM events WHERE event_type = 'purchase' GROUP BY 1),
+  SELECT ts::DATE AS d, sum(value::DECIMAL(10,2) * 0.001::DECIMAL(4,3)) AS s FROM events GROUP BY 1),
 running AS (SELECT d, sum(s) OVER (PARTITION BY date_trunc('month', d) ORDER BY d)::DOUBLE AS spend_to_date FROM daily)
 SELECT date_trunc('month', d)::DATE::VARCHAR AS month, d::VARCHAR AS day, spend_to_date, spend_to_date > 40 AS alert FROM running""",
 }
@@ -507,3 +507,4 @@ found AS (
 SELECT doc_id, CASE WHEN pattern IS NULL THEN text
   ELSE translate(regexp_replace({_WRAPPED.format("text")}, pattern, '[NAME]', 'g'), chr(1) || chr(2), '') END AS text
 FROM documents LEFT JOIN found USING (doc_id)"""
+ORACLE["numbered_lines"] = "SELECT o_orderkey, row_number() OVER (PARTITION BY o_orderkey % 8 ORDER BY o_orderkey) AS lineno FROM orders"

@@ -551,6 +551,16 @@ def hashed_lines(spark, sf):
     return datasets.hashed_lines(spark, path).select("line_hash", "line")
 
 
+@query
+def numbered_lines(spark, sf):
+    """Lines of one text file for each of eight groups of orders, numbered in their files."""
+    path = scratch_path(spark, "numbered")
+    orders = t.table(spark, sf, "orders").select((F.col("o_orderkey") % 8).alias("part"), F.col("o_orderkey").alias("key"))
+    dealt = orders.repartition(8, "part").sortWithinPartitions("part", "key")
+    dealt.select("part", F.col("key").cast("string").alias("line")).write.partitionBy("part").text(path)
+    return datasets.block_numbered_lines(spark, path).select(F.col("line").cast("bigint").alias("o_orderkey"), "lineno")
+
+
 @query
 def split_sink(spark, sf):
     """The split folders, written and read back."""
@@ -710,6 +720,6 @@ def alarm_state(spark, sf):
 
 @query
 def budget_alert(spark, sf):
-    costs = t.metrics(spark, sf).filter(F.col("event_type") == "purchase").select("ts", (F.col("value") * F.lit(0.001).cast("decimal(4,3)")).alias("cost"))
+    costs = t.metrics(spark, sf).select("ts", (F.col("value") * F.lit(0.001).cast("decimal(4,3)")).alias("cost"))
     alerts = monitoring.budget_alert(costs)
     return alerts.select(F.col("month").cast("string"), F.col("day").cast("string"), "spend_to_date", "alert")

@@ -124,3 +124,37 @@ def test_pack_sequences_loses_no_token(spark):
         for s in starts:
             at, n = joined.index(s), (s // 100) % 7
             assert joined[at : at + n] == list(range(s, s + n))
+
+
+def test_packing_equals_plain_code_in_one_movement(spark):
+    """The same chunks as a plain running sum, whatever the groups; only parts of chunks at group borders move twice."""
+    import hashlib
+
+    rows = [(i, list(range(i * 1000, i * 1000 + i % 23))) for i in range(300)] + [(1000, list(range(5000)))]
+    df = spark.createDataFrame(rows, "id int, input_ids array<int>").repartition(5)
+    expected = {}
+    digest = lambda i: hashlib.md5(f"42:{i}".encode()).hexdigest()
+    for i, ids in sorted(rows, key=lambda r: (digest(r[0]), r[0])):
+        expected.setdefault(int(digest(i)[:8], 16) % 3, []).extend(ids)
+    for digits in (1, 3):
+        packed = arrays.pack_sequences(df, "id", max_len=50, shards=3, digits=digits)
+        got = {}
+        for r in packed.orderBy("shard", "chunk").collect():
+            got.setdefault(r.shard, []).append(r.input_ids)
+        assert {s: [t for c in chunks for t in c] for s, chunks in got.items()} == expected
+        assert all(len(c) == 50 for chunks in got.values() for c in chunks[:-1])
+    plan = packed._jdf.queryExecution().executedPlan().toString()
+    # The input is not read again, and no window of rows covers a whole shard.
+    assert "ExistingRDD" not in plan and "LocalTableScan" not in plan
+    assert all("digest" not in w for w in plan.split("windowspecdefinition(")[1:] if w.startswith("shard") and "part" not in w.split("digest")[0])
+
+
+def test_collation_in_order_of_the_key(spark):
+    rows = [(i * 7 % 101, list(range(i % 9)), i % 3) for i in range(101)]
+    df = spark.createDataFrame(rows, "id long, full_ids array<int>, prompt_len int").repartition(4)
+    samples = arrays.token_samples(df)
+    ranked = samples.withColumn("rank", F.col("id"))
+    want = {tuple(map(str, r)) for r in arrays.collate_pad(ranked, batch_size=4).select("id", "batch_id", "input_ids", "labels", "attention_mask").collect()}
+    got = arrays.collate_in_order(samples, "id", batch_size=4).select("id", "batch_id", "input_ids", "labels", "attention_mask")
+    assert {tuple(map(str, r)) for r in got.collect()} == want and len(want) == 101
+

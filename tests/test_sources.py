@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from parley.operators import quality
 from parley.plans import prepare, upload
+from parley.session import exists
 from parley.sinks import files as sinks
 from parley.sources import batches, datasets, outputs, replies
 from parley.sources.store import filter_doc, read_store
@@ -175,3 +176,46 @@ def test_generation_worklist_and_summary(spark):
     per_batch = quality.records_per_batch(prepare.batch_range(work, 1, 3), done.union(spark.createDataFrame([(3,)], "batch_num long")))
     assert quality.generation_summary(per_batch).first().asDict() == {"attempted": 2, "successful_records": 1, "failed_batches": 1}
     assert [r[0] for r in quality.failed_batches(per_batch).collect()] == [1]
+
+
+def test_line_numbers_over_many_blocks(spark, tmp_path):
+    """Files cut into blocks in the midst of lines have the numbers of a whole reading."""
+    (tmp_path / "a.txt").write_bytes(b"".join(b"line %d %s\r\n" % (i, b"x" * (i * 37 % 300)) for i in range(500)))
+    (tmp_path / "b.txt").write_bytes("\n\nfirst é\n\n".encode() + b"y" * 5000 + b"\nlast")
+    (tmp_path / "c.txt").write_bytes(b"")
+    (tmp_path / "d.txt").write_bytes(b"\n")
+    expected = sorted(map(tuple, datasets.numbered_lines(spark, str(tmp_path)).collect()))
+    sizes = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(s) for s in sizes]
+    try:
+        spark.conf.set(sizes[0], "777")
+        spark.conf.set(sizes[1], "1")
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 50
+        got = sorted(map(tuple, datasets.block_numbered_lines(spark, str(tmp_path)).collect()))
+    finally:
+        for s, b in zip(sizes, before):
+            spark.conf.set(s, b)
+    assert got == expected and len(got) == 507
+
+
+def test_clean_keeps_records_it_cannot_read(spark, tmp_path, monkeypatch):
+    """Accepted and rejected records together are the input; a second run adds nothing."""
+    from parley.sources import batches
+
+    raw, interim = tmp_path / "raw", str(tmp_path / "interim")
+    raw.mkdir()
+    for n in range(3):
+        rows = [{"user": f"u{n}-{i}" + ("huge" if (n, i) in ((0, 1), (2, 3)) else ""), "assistant": "{}"} for i in range(4)]
+        (raw / f"batch_{n:03d}.json").write_text(json.dumps(rows))
+    prepare.clean(spark, str(raw), f"{tmp_path}/none")
+    assert not exists(spark, prepare.rejected(f"{tmp_path}/none"))
+    # Stands for a value beyond the limit of the type, which would have to be more than 100 MB.
+    monkeypatch.setattr(batches, "_lost", lambda: F.contains("record_text", F.lit("huge")))
+    monkeypatch.setattr(prepare, "SURELY_READABLE", 10)
+    for _ in range(2):
+        sizes = prepare.clean(spark, str(raw), interim)
+        assert {r["batch_num"]: r["n_records"] for r in sizes.collect()} == {f"batch_{n:03d}.json": 4 for n in range(3)}
+    lost = spark.read.parquet(prepare.rejected(interim)).collect()
+    assert {(r.file_name, r.record_index, r.reason) for r in lost} == {("batch_000.json", 1, "too_large"), ("batch_002.json", 3, "too_large")}
+    assert all("huge" in r.record_text for r in lost)
+    assert spark.read.parquet(interim).count() + len(lost) == 12
