@@ -268,9 +268,12 @@ def first_of_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     ours = simhash_groups(docs, doc_id, text).where("doc_id <=> component_id")
     ours = ours.groupBy("component", "digest").agg(F.count("*").alias("n"), F.min("doc_id").alias("id"))
     stays = ours.groupBy("component").agg(F.min(F.struct("digest", "id", "n")).alias("s"))
-    stays = stays.select(F.col("s.id").alias("__id"), F.col("s.digest").alias("__digest"), F.col("s.n").alias("__n"))
+    # Names that no column of ``docs`` has.
+    mark = "_" * (1 + max(map(len, docs.columns)))
+    own, known, many = mark + "id", mark + "digest", mark + "n"
+    stays = stays.select(F.col("s.id").alias(own), F.col("s.digest").alias(known), F.col("s.n").alias(many))
     digest = F.md5(utf8(docs[text]))
-    rows = docs.join(stays, (digest == F.col("__digest")) & docs[doc_id].eqNullSafe(F.col("__id")))
-    single = rows.where("__n = 1").select(*[docs[c] for c in docs.columns])
-    several = rows.where("__n > 1").dropDuplicates(["__id", "__digest"]).select(*[docs[c] for c in docs.columns])
+    rows = docs.join(stays, (digest == F.col(known)) & docs[doc_id].eqNullSafe(F.col(own)))
+    single = rows.where(F.col(many) == 1).select(*[docs[c] for c in docs.columns])
+    several = rows.where(F.col(many) > 1).dropDuplicates([own, known]).select(*[docs[c] for c in docs.columns])
     return single.unionByName(several)

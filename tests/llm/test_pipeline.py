@@ -58,7 +58,36 @@ def test_entry_has_the_queries():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in names and [s[0] for s in corpus_pipeline.STAGES] == [
         "quality_classifier", "simhash_dedup", "pii_surrogates", "best_fit_packing",
     ]
+
+
+def test_stages_take_nulls_repeated_rows_and_clashing_names(spark):
+    """Columns that operators use inside, nulls everywhere, and rows that repeat."""
+    docs = documents(spark, SF)
+    names = "doc_id long, text string, lang string, source string, n_chars long, digest string, fp long, component int, kept int, ids int, piece int, tails string, __id int"
+    plain = "A long and sound sentence about the river and the old town, seen by many people on that day."
+    rows = [(1, None), (2, ""), (None, plain), (3, plain), (3, plain), (4, "mail a.b@mail7.example.com now " + plain), (5, "\t \n")]
+    odd = spark.createDataFrame([(i, t, None, None, None, "d", 1, 2, 3, 4, 5, "t", 6) for i, t in rows], names)
+    model = quality.fit_documents(docs, quality.ratings_of(documents(spark, SF, "labels")), TOP_GRADE)
+    graded = {(r.doc_id, r.text): r.tails for r in quality.with_grades(odd.select("doc_id", "text"), model).collect()}
+    good = corpus_pipeline.quality_classifier(spark, odd, SF)
+    # Null, empty and blank texts have no chance of a grade above poor, so they go.
+    expected = [r for r in rows if graded[r][0] >= 0.5]
+    assert good.columns == odd.columns and sorted(map(str, [(r.doc_id, r.text) for r in good.collect()])) == sorted(map(str, expected))
+    assert not any((t or "").strip() == "" for _, t in expected)
+
+    single = corpus_pipeline.simhash_dedup(spark, odd, SF)
+    assert single.columns == odd.columns
+    kept = [(r.doc_id, r.text) for r in single.collect()]
+    groups = {c for _, _, c in plain_groups([(n, t) for n, (_, t) in enumerate(rows)])}
+    assert len(kept) == len(groups) and (3, plain) in kept and (1, None) in kept
+    mended = corpus_pipeline.pii_surrogates(spark, odd, SF)
+    assert mended.columns == odd.columns and mended.count() == len(rows)
+    by_id = [(r.doc_id, r.text) for r in mended.collect()]
+    assert (1, None) in by_id and (2, "") in by_id and by_id.count((3, plain)) == 2
+    assert not any("a.b@mail7" in (t or "") for _, t in by_id)
+    pieces = corpus_pipeline.best_fit_packing(spark, odd, SF).collect()
+    assert len(pieces) == len(rows) and sorted(r.length for r in pieces if r.doc_id in (1, 2, 5)) == [1, 1, 1]
