@@ -24,7 +24,7 @@ from parley.llm.simhash import first_of_group  # noqa: E402
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose probability of a grade above poor is below one half go."""
+    """Documents whose probability of a grade above poor is below one half go, and with them null, empty and blank texts."""
     ratings = quality.ratings_of(documents(spark, sf_dir, "labels"))
     graded = quality.with_grades(docs, quality.fit_documents(docs, ratings, TOP_GRADE))
     return graded.where(quality.selected()).select(*docs.columns)
@@ -45,7 +45,10 @@ def pii_surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per piece of a document with its token ids, its sequence and its place there."""
+    """A row per piece of a document with its token ids, its sequence and its place there.
+
+    Of the columns of ``docs`` doc_id, lang and source go along; others end here.
+    """
     kept = docs.select("doc_id", "text", "lang", "source")
     return pack_documents(kept, public_tokenizers.path("word_bpe_49k.json"))
 
