@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parley.functions.jsontext import has_field, is_object_text, strict_parse
+from parley.functions.jsontext import strict_parse
 from parley.operators.merges import skip_done
 from parley.schemas import (
     BATCH_SIZE,
@@ -74,19 +74,23 @@ def label_audit(df: DataFrame, assistant: str = "assistant", brands: tuple[str,
     A label that is not a JSON object breaks just the rule ``json``. Brand names
     are checked only when given.
     """
-    v = F.col("_v")
+    # All fields at once, instead of a search of the parsed value for each of them.
+    fields = F.col("_fields")
+    names = F.map_keys(fields)
 
     def outside(name: str, allowed: tuple[str, ...]) -> Column:
         return F.coalesce(~F.col(f"label.{name}").isin(*allowed), F.lit(False))
 
     def kind(name: str) -> Column:
-        return F.schema_of_variant(F.try_variant_get(v, f"$.{name}", "variant"))
+        """Type of a field's value; VOID for a JSON null, NULL for a missing field."""
+        void = F.when(F.array_contains(names, name), F.lit("VOID"))
+        return F.coalesce(F.schema_of_variant(F.element_at(fields, name)), void)
 
     score = F.col("label.score")
     rules = {
         "brand_fit": outside("brand_fit", (*brands, NO_BRAND)) if brands else F.lit(False),
         "intent": outside("intent", LABEL_INTENTS),
-        "missing_key": ~_all([has_field(v, f.name) for f in LABEL.fields]),
+        "missing_key": F.size(F.array_except(F.array(*[F.lit(f.name) for f in LABEL.fields]), names)) > 0,
         "next_action": outside("next_action", LABEL_ACTIONS),
         "score": F.coalesce(~score.between(0, 100), F.lit(False)) | F.coalesce(kind("score") != "BIGINT", F.lit(False)),
         "timeline_months": F.coalesce(~kind("timeline_months").isin("BIGINT", "VOID"), F.lit(False)),
@@ -95,9 +99,10 @@ def label_audit(df: DataFrame, assistant: str = "assistant", brands: tuple[str,
     broken = F.array_compact(F.array(*[F.when(rule, F.lit(name)) for name, rule in rules.items()]))
     return (
         df.withColumn("_v", strict_parse(F.col(assistant)))
+        .withColumn("_fields", F.try_variant_get("_v", "$", "map<string,variant>"))
         .withColumn("label", read_label(F.col(assistant)))
-        .withColumn("violations", F.when(v.isNotNull() & is_object_text(F.col(assistant)), broken).otherwise(F.array(F.lit("json"))))
-        .drop("_v")
+        .withColumn("violations", F.when(fields.isNotNull(), broken).otherwise(F.array(F.lit("json"))))
+        .drop("_v", "_fields")
     )
 
 

@@ -158,3 +158,16 @@ def test_collation_in_order_of_the_key(spark):
     got = arrays.collate_in_order(samples, "id", batch_size=4).select("id", "batch_id", "input_ids", "labels", "attention_mask")
     assert {tuple(map(str, r)) for r in got.collect()} == want and len(want) == 101
 
+
+def test_label_audit_tells_null_from_missing(spark):
+    def violations(**changes):
+        label = GOOD | changes
+        return json.dumps({k: v for k, v in label.items() if v != "gone"})
+
+    texts = [violations(), violations(score=None), violations(score="gone"), violations(timeline_months=None), violations(timeline_months="3")]
+    texts += [violations(score=85.5), violations(score="85"), violations(other=[1]), "[1]", "null", "5", "{}", None, '{"intent": "buy"} x']
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, assistant string")
+    got = {r.id: r.violations for r in quality.label_audit(df).collect()}
+    assert [got[i] for i in range(len(texts))] == [
+        [], ["score"], ["missing_key"], [], ["timeline_months"], ["score"], ["score"], [], ["json"], ["json"], ["json"], ["missing_key"], ["json"], ["json"],
+    ]
