@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import bisect
 import functools
+import heapq
+import re
 
 import numpy as np
 import regex
@@ -63,6 +66,7 @@ class Notice:
         self.edits = int(len(text) * share)
         bounds = [len(text) * i // (self.edits + 1) for i in range(self.edits + 2)]
         self.parts = [text[s:e] for s, e in zip(bounds, bounds[1:])]
+        self.offsets = bounds[:-1]
         self.seeds = [(s, p.encode()) for s, p in zip(bounds, self.parts)]
         self.pattern = regex.compile(f"(?b)(?:{regex.escape(text, special_only=True)}){{e<={self.edits}}}")
 
@@ -89,26 +93,52 @@ class Notice:
                 lo -= 1
             while hi < len(line) and line[hi] & 0xC0 == 0x80:
                 hi += 1
-            part = line[lo:hi].decode()
-            for m in self.matches(part):
-                begin = lo + len(part[: m.start()].encode())
-                found = m[0].encode()
-                end = begin + len(found.rstrip())
-                out.append((begin + len(found) - len(found.lstrip()), end, sum(m.fuzzy_counts)))
+            part, seen, at = line[lo:hi].decode(), 0, lo
+            for start, end, errors in self.matches(part):
+                at += len(part[seen:start].encode())
+                found = part[start:end].encode()
+                seen = end
+                out.append((at + len(found) - len(found.lstrip()), at + len(found.rstrip()), errors))
+                at += len(found)
         return out
 
-    def matches(self, part: str) -> list[regex.Match]:
-        """The best match, then those on both sides of it, as weaker ones may stand before it."""
-        todo, out = [(0, len(part))], []
-        while todo:
-            lo, hi = todo.pop()
+    def matches(self, part: str) -> list[tuple[int, int, int]]:
+        """(begin, end, errors) by place: the best match, then the best beside it, and so on, as weaker ones may stand before it.
+
+        Stretches of a few notice lengths that overlap by one are searched on
+        their own, and again only where a match found since cuts them, so the
+        work grows with the length of ``part``.
+        """
+        slack, step = 4 * self.edits + 1, 4 * self.size
+        starts = {m.start() - offset for offset, seed in zip(self.offsets, self.parts) for m in re.finditer(re.escape(seed), part)}
+        best: list[tuple] = []
+
+        def search(lo: int, hi: int) -> None:
             if hi - lo < self.size - self.edits or all(part.find(p, lo, hi) < 0 for p in self.parts):
-                continue
+                return
             m = self.pattern.search(part, lo, hi)
             if m:
-                out.append(m)
-                todo += [(lo, m.start()), (m.end(), hi)]
-        return sorted(out, key=lambda m: m.start())
+                heapq.heappush(best, (sum(m.fuzzy_counts), m.start(), m.end(), lo, hi))
+
+        lo, hi = 0, 0
+        for at in sorted(starts):
+            if at >= lo + slack + step or not hi:
+                if hi:
+                    search(lo, hi)
+                lo = max(0, at - slack)
+            hi = min(len(part), at + self.size + slack)
+        search(lo, hi)
+        taken: list[tuple[int, int, int]] = []
+        while best:
+            errors, start, end, lo, hi = heapq.heappop(best)
+            i = bisect.bisect_right(taken, (start, len(part), 0))
+            over = [t for t in taken[max(0, i - 1) : i + 1] if t[0] < end and start < t[1]]
+            if not over:
+                taken.insert(i, (start, end, errors))
+                over = [taken[i]]
+            search(lo, min(hi, over[0][0]))
+            search(max(lo, over[0][1]), hi)
+        return taken
 
 
 class Scanner:
