@@ -18,13 +18,16 @@ SPACE = r"\t-\r\x1c-\x1f \x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202
 SPACE_CHARACTERS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 WORD = r"\p{L}\p{N}_"
 DIGIT = r"\p{Nd}"
+# A digit beyond U+FFFF. Java looks a whole character back only where the pattern's text holds such a
+# character; otherwise it sees half of one, which is neither letter nor digit. The classes have it already.
+WIDE = "\U0001d7ce"
 
 # ---- fixed values: replacement tokens --------------------------------------
 EMAIL_TOKEN = "[EMAIL]"
 PHONE_TOKEN = "[PHONE]"
 NAME_TOKEN = "[NAME]"
 
-_EDGE = f"(?:(?<=[{WORD}])(?![{WORD}])|(?<![{WORD}])(?=[{WORD}]))"
+_EDGE = f"(?:(?<=[{WORD}{WIDE}])(?![{WORD}])|(?<![{WORD}{WIDE}])(?=[{WORD}]))"
 
 # ---- fixed values: masking patterns, in Python syntax ----------------------
 EMAIL = r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b"
@@ -36,6 +39,7 @@ PHONE_CORRECTED = r"(?<!\d)(?:\+?\d{1,3}[\s.-]?)?(?:\(?\d{3}\)?[\s.-]?)?\d{3}[\s
 
 def java(pattern: str) -> str:
     """The pattern with the Unicode-aware classes it has in Python, for Spark's regex functions."""
+    pattern = pattern.replace(r"(?<!\d)", f"(?<![{DIGIT}{WIDE}])")
     return pattern.replace(r"\d", DIGIT).replace(r"\s", SPACE).replace(r"\b", _EDGE)
 
 

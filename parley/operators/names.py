@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parley.functions.text import NAME_TOKEN, WORD, java, longest_first
+from parley.functions.text import NAME_TOKEN, WIDE, WORD, java, longest_first
 from parley.session import cut_lineage
 
 # Bounds of a list that becomes part of the expression; a longer one is joined.
@@ -29,7 +29,7 @@ def word_runs(text: Column, longest: int) -> Column:
 
 def replace_found(text: Column, found: Column) -> Column:
     """``text`` with each of its names replaced where it stands as whole words, the longest of those that begin at a place."""
-    pattern = F.concat(F.lit(f"(?<![{WORD}])(?:"), F.array_join(longest_first(found), "|"), F.lit(f")(?![{WORD}])"))
+    pattern = F.concat(F.lit(f"(?<![{WORD}{WIDE}])(?:"), F.array_join(longest_first(found), "|"), F.lit(f")(?![{WORD}])"))
     return F.when(F.size(found) > 0, F.regexp_replace(text, pattern, F.lit(NAME_TOKEN))).otherwise(text)
 
 

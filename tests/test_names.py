@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from parley.operators.names import mask_listed
+from parley.operators.names import mask_listed, replace_found
 from plans import no_python
 
 
@@ -36,6 +36,17 @@ def test_equals_one_pattern_of_all_names(spark, inline):
     assert no_python(got._jdf.queryExecution().executedPlan().toString())
 
 
+def test_a_letter_of_two_units_before_a_name(spark):
+    texts = ["\U00020000Ann", "\U0001d7d7Ann \U0001f600Ann", "Ann\U00020000"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, a string")
+    listed = spark.createDataFrame([("Ann",)], "name string")
+    # The names to look for come with the text, so that only the place decides.
+    found = F.array(F.lit("Ann"))
+    got = df.select("id", replace_found(F.col("a"), found).alias("a")).orderBy("id").collect()
+    assert [r.a for r in got] == [plain(t, ["Ann"]) for t in texts]
+    assert mask_listed(df, ["a"], listed, "id").where("id = 1").first().a == plain(texts[1], ["Ann"])
+
+
 def test_an_empty_list_and_an_empty_table(spark):
     df = spark.createDataFrame([(1, "Ann")], "id int, a string")
     none = spark.createDataFrame([], "name string")

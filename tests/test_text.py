@@ -64,6 +64,14 @@ def test_masking_equals_python_on_odd_characters(spark):
     assert column(spark, values, T.mask_pii) == [py_mask(v) for v in values]
 
 
+def test_masking_looks_a_whole_character_back(spark):
+    # Letters and digits beyond U+FFFF are two units of a Java string.
+    wide = ["\U0001d7d71234567", "\U0001d7ce1234567555(", "9\U0001d7d79876543210", "\U0001d4b3x@y.co", "ab\U00020000+x@y.co", "\U0001f600555-1234", "\U0001d7d7_x@y.co"]
+    assert column(spark, wide, T.mask_pii) == [py_mask(v) for v in wide]
+    corrected = [re.sub(T.PHONE_CORRECTED, "[PHONE]", v) for v in wide[:2]]
+    assert column(spark, wide[:2], lambda c: T.mask_phone(c, strict=False)) == corrected
+
+
 def test_masking_equals_python_on_documents_and_is_idempotent(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("once", T.mask_pii(F.col("text")))
     rows = docs.withColumn("twice", T.mask_pii(F.col("once"))).collect()
