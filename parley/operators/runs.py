@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +43,15 @@ def eval_metrics(losses: DataFrame, *by: str) -> DataFrame:
     )
 
 
+def reported(metric: Column, digits: int = 4) -> Column:
+    """The metric as a DECIMAL of so many digits, rounded by the double's own value.
+
+    A cast rounds its shortest text, which may lie on a tie that the value is below.
+    """
+    units = F.round(metric * float(10**digits)).cast("decimal(18,0)")
+    return (units * F.lit(Decimal(1).scaleb(-digits))).cast(f"decimal(18,{digits})")
+
+
 def quality_gate(metrics: DataFrame, max_ppl: float = MAX_PERPLEXITY, max_loss: float = MAX_LOSS) -> DataFrame:
     """Adds ``passed`` and ``reason`` (first failed check). ``avg_loss`` is the validation loss."""
     ppl = F.coalesce(F.col("perplexity"), F.lit(MISSING_METRIC))

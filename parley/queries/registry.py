@@ -443,8 +443,8 @@ def status_log(spark, sf):
 def run_report(spark, sf):
     evaluated = runs.eval_metrics(t.losses(spark, sf), "run_id").select(
         "run_id",
-        F.col("avg_loss").cast("decimal(18,4)").alias("val_loss"),
-        F.col("perplexity").cast("decimal(18,4)").alias("perplexity"),
+        runs.reported(F.col("avg_loss")).alias("val_loss"),
+        runs.reported(F.col("perplexity")).alias("perplexity"),
         "quality_tier",
         F.col("total_tokens").alias("record_count"),
     )

@@ -99,6 +99,15 @@ def test_eval_metrics_and_gate(spark):
     assert [r["reason"] for r in runs.quality_gate(missing).collect()] == ["perplexity", "val_loss"]
 
 
+def test_reported_metrics_are_rounded_by_their_value(spark):
+    # As doubles the first two lie below and above the tie that their shortest text shows; 0.03125 is a tie.
+    values = [float.fromhex("0x1.605a1cac08312p+1"), 1.00005, 0.03125, 15.6857, 2.0, 1e9 + 0.12345]
+    df = spark.createDataFrame(list(enumerate(values)), "i int, v double")
+    got = [str(r[0]) for r in df.orderBy("i").select(runs.reported(F.col("v"))).collect()]
+    assert got == ["2.7527", "1.0001", "0.0313", "15.6857", "2.0000", "1000000000.1235"]
+    assert got[0] == f"{values[0]:.4f}" and got[1] == f"{values[1]:.4f}"
+
+
 def test_run_meta(spark):
     splits = spark.createDataFrame([("train",), ("train",), ("val",), ("test",)], "split string")
     meta = runs.run_meta(splits, F.lit("r"), "p/", at()).first().asDict()
