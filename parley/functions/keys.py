@@ -41,7 +41,8 @@ def result_request_id(key: Column) -> Column:
     """Request id of an output object key, NULL when none is left."""
     name = F.substring_index(decode_key(key), "/", -1)
     bare = F.regexp_replace(F.regexp_replace(name, r"\.out\z", ""), r"\.json\z", "")
-    return F.when(bare != "", bare)
+    # Worked out once, whereas a condition and its value would each do all of it.
+    return F.nullif(bare, F.lit(""))
 
 
 def request_id(record_id: Column, seed: str | int = 42) -> Column:

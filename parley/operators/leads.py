@@ -92,9 +92,13 @@ def dispatch_summary(picked: DataFrame, sent: DataFrame) -> DataFrame:
     )
 
 
-def ingest_results(leads: DataFrame, outputs: DataFrame, at: Column, version: str = "key") -> tuple[DataFrame, DataFrame]:
+def ingest_results(
+    leads: DataFrame, outputs: DataFrame, at: Column, version: str = "key", answered_only: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """Leads with their results set, and ``processed, not_found, errors``.
 
+    With ``answered_only`` the first table leaves out the leads that ``outputs`` does not answer.
+
     ``outputs``: ``key, request_id, result, raw``. Every output counts in the stats.
     Outputs are reduced to one row per request before the join, so a request
     delivered very often does not gather in one task; the last key wins. Outputs
@@ -123,7 +127,9 @@ def ingest_results(leads: DataFrame, outputs: DataFrame, at: Column, version: st
         "inference_raw_output": kept("inference_raw_output", F.col("_o.raw")),
         "inference_completed_at": kept("inference_completed_at", at),
     }
-    joined = leads.withColumn("request_id", wanted).join(per_request, "request_id", "left")
+    joined = leads.withColumn("request_id", wanted).join(per_request, "request_id", "inner" if answered_only else "left")
+    if answered_only:
+        joined = joined.where(found)
     updated = joined.select(*[changed.get(c, F.col(c)) for c in leads.columns])
 
     sent = leads.filter(F.col("sagemaker_request_id").isNotNull())

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -88,3 +90,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     fs, at = file_system(df.sparkSession, path)
     fs.deleteOnExit(at)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def written(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` written to the shared folder and read back by column, for work that goes over it several times.
+
+    The table is removed at the end of the block, so a stream that does this for each batch leaves nothing behind.
+    """
+    path = scratch_path(df.sparkSession, "batch")
+    fs, at = file_system(df.sparkSession, path)
+    try:
+        df.write.parquet(path)
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        fs.delete(at, True)

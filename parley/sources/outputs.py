@@ -24,11 +24,12 @@ def outputs_of(objects: DataFrame, key: str = "key", body: str = "body") -> Data
         F.col(body).alias("body"),
         strict_parse(F.col(body)).alias("json"),
     )
-    output = F.coalesce("json", F.to_variant_object(wrapped))
+    # A column of its own, since the answer is looked for in several places of it.
+    parsed = parsed.withColumn("output", F.coalesce("json", F.to_variant_object(wrapped)))
     return parsed.select(
         "key",
         "request_id",
-        generated_text(output).alias("result"),
+        generated_text(F.col("output")).alias("result"),
         F.when(F.col("json").isNull(), encode(wrapped)).otherwise(F.col("body")).alias("raw"),
     )
 

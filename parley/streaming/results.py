@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from parley.operators.leads import ingest_results
 from parley.operators.monitoring import metric_sketches, sketched_windows
-from parley.session import exists, read_note, write_note
+from parley.session import exists, read_note, write_note, written
 from parley.sources.keyed import BUCKETS, KeyedTable, buckets_in
 from parley.sources.outputs import output_objects, outputs_of
 
@@ -45,18 +45,13 @@ def apply_results(table: KeyedTable, outputs: DataFrame, version: int, at: Colum
     answers are written. A replay writes the same version again.
     """
     spark = outputs.sparkSession
-    outputs = outputs.persist()
-    try:
-        ids = outputs.where("request_id is not null").select(F.col("request_id").alias("sagemaker_request_id")).distinct()
-        ids = table.with_bucket(ids)
-        near = table.read(spark, buckets_in(ids), version)
-        answered = near.join(ids.drop("bucket"), "sagemaker_request_id", "left_semi").select(*near.columns)
-        updated, counts = ingest_results(answered, outputs, at)
+    with written(outputs) as outputs:
+        answers = outputs.where("request_id is not null and result is not null")
+        near = table.read(spark, buckets_in(table.with_bucket(answers.select(F.col("request_id").alias("sagemaker_request_id")))), version)
+        updated, counts = ingest_results(near, outputs, at, answered_only=True)
         table.write(updated, version)
         if stats:
             counts.write.mode("overwrite").parquet(f"{stats}/version={version}")
-    finally:
-        outputs.unpersist()
 
 
 def stream_lead_results(

@@ -5,6 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from parley.operators.records import to_messages
+from parley.session import file_system, shared_dir
 from parley.sources.keyed import KeyedTable, bucket_of
 from parley.sources.topics import PROCESSED, RAW
 from parley.streaming import etl
@@ -127,3 +128,19 @@ def test_results_are_applied_on_arrival(spark, tmp_path):
     for _ in range(2):
         apply_results(table, outputs, 4, now)
     assert table.read(spark).count() == 40 and table.read(spark).where("inference_result = 'five'").count() == 1
+
+
+def test_a_batch_of_results_writes_answered_leads_only_and_leaves_no_scratch(spark, tmp_path):
+    rows = [(f"x{i}", "processing", f"x{i}", None, None, None) for i in range(60)] + [("y", "pending", None, None, None, None)]
+    table = lead_table(spark, f"{tmp_path}/leads", spark.createDataFrame(rows, LEAD), buckets=8)
+    # Good, unreadable, twice, for no lead, and one whose id reads like the stand-in of a lead without a request.
+    outputs = [("k1", "x1", "one", "r"), ("k2", "x2", None, "r"), ("k3", "x3", "old", "r"), ("k4", "x3", "new", "r"), ("k5", "zz", "no", "r"), ("k6", None, "no", "r"), ("k7", "no request y", "no", "r")]
+    batch = spark.createDataFrame(outputs, "key string, request_id string, result string, raw string")
+    fs, scratch = file_system(spark, f"{shared_dir(spark)}/parley")
+    before = {s.getPath().getName() for s in fs.listStatus(scratch)} if fs.exists(scratch) else set()
+    apply_results(table, batch, 1, F.lit("2024-02-01").cast("timestamp"), f"{tmp_path}/stats")
+    written = {r["_id"]: r["inference_result"] for r in table.stored(spark).where("version = 1").collect()}
+    assert written == {"x1": "one", "x3": "new"}
+    assert spark.read.parquet(f"{tmp_path}/stats").select("processed", "not_found", "errors").first() == (3, 2, 2)
+    after = {s.getPath().getName() for s in fs.listStatus(scratch)} if fs.exists(scratch) else set()
+    assert not {n for n in after - before if n.startswith("batch")}
